@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelkit.plans import star
+from panelkit.session import store
 
 PERIOD_SQL = {
     "year": "CAST(year(l_shipdate) AS INTEGER)",
@@ -142,6 +143,11 @@ def fact(spark, sf, grain="year") -> DataFrame:
     )
 
 
+def stored_fact(spark, sf, grain="year") -> DataFrame:
+    """The fact as a stored table, as a job after the build would read it."""
+    return store(fact(spark, sf, grain), "fact")
+
+
 def _mean_sql(cond, value, scale=1.0):
     return (f"CASE WHEN count(*) FILTER (WHERE {cond}) > 0 THEN CAST(sum({value}) FILTER (WHERE {cond}) AS DOUBLE)"
             f" / CAST(count(*) FILTER (WHERE {cond}) AS DOUBLE) / {scale}::DOUBLE END")

@@ -30,6 +30,7 @@ class Outcome:
     details: Column
     aggregates: dict[str, Column] = field(default_factory=dict)
     applies: Column | None = None
+    own_row: DataFrame | None = None  # one-row input of a check that needs a pass of its own
 
 
 def _number_text(value) -> str:
@@ -138,11 +139,12 @@ def duplicates(keys: Sequence[str]):
     task by then.
     """
     def check(df: DataFrame, i: int):
-        n = F.coalesce(F.col(f"dup_{i}"), F.lit(0).cast("long"))
-        members = df.groupBy(*keys).count().filter("count > 1").agg(F.sum("count")).scalar()
+        n = F.col("members")
+        members = df.groupBy(*keys).count().filter("count > 1").agg(
+            F.coalesce(F.sum("count"), F.lit(0)).cast("long").alias("members"))
         yield Outcome(
             "duplicate_check", n == 0, F.when(n < 100, WARNING).otherwise(CRITICAL),
-            F.format_string(f"%d duplicate rows on {_python_list(keys)}", n), {f"dup_{i}": members},
+            F.format_string(f"%d duplicate rows on {_python_list(keys)}", n), own_row=members,
         )
     return check
 
@@ -151,42 +153,27 @@ def outliers_iqr(column: str, multiplier=3.0):
     def check(df: DataFrame, i: int):
         if column not in df.columns:
             return
+        v = F.col("v")
         known = df.select(F.col(f"`{column}`").cast("double").alias("v")).filter("v is not null")
-        q = quantile_columns(known, ["v"], {"q1": 0.25, "q3": 0.75})
-        bounds = q.select(F.struct(
-            (F.col("q1_v") - multiplier * (F.col("q3_v") - F.col("q1_v"))).alias("lo"),
-            (F.col("q3_v") + multiplier * (F.col("q3_v") - F.col("q1_v"))).alias("hi"),
-        ).alias("bounds")).scalar()
-        stats = known.agg(F.struct(
-            F.count("v").alias("n"),
-            F.count_if((F.col("v") < bounds["lo"]) | (F.col("v") > bounds["hi"])).alias("out"),
-            F.max(bounds).alias("bounds"),
-        )).scalar()
-        s = F.col(f"iqr_{i}")
-        rate = F.when(s["n"] > 0, s["out"] / s["n"])
+        q = quantile_columns(known, ["v"], {"q1": 0.25, "q3": 0.75}).first()
+        if q is None or q["q1_v"] is None:
+            return
+        reach = multiplier * (q["q3_v"] - q["q1_v"])
+        low, high = q["q1_v"] - reach, q["q3_v"] + reach
+        stats = known.agg(F.count("v").alias("n"), F.count_if((v < low) | (v > high)).alias("out"))
+        rate = F.when(F.col("n") > 0, F.col("out") / F.col("n"))
         ok = rate < 0.05
         yield Outcome(
             f"outlier_iqr[{column}]", ok, F.when(ok, INFO).otherwise(WARNING),
-            F.format_string("%d outliers (%.1f%%) outside [%.2f, %.2f]",
-                            s["out"], rate * 100, s["bounds"]["lo"], s["bounds"]["hi"]),
-            {f"iqr_{i}": stats}, s["n"] >= 10,
+            F.format_string("%d outliers (%.1f%%) outside [%.2f, %.2f]", F.col("out"), rate * 100, F.lit(low), F.lit(high)),
+            applies=F.col("n") >= 10, own_row=stats,
         )
     return check
 
 
-def run_suite(df: DataFrame, dataset: str, checks: Sequence) -> DataFrame:
-    """Run the checks of one dataset; one report row per check that applies."""
-    outcomes = [o for i, check in enumerate(checks) for o in check(df, i)]
-    aggregates, scalars = {}, {}
-    for o in outcomes:
-        for key, c in o.aggregates.items():
-            (scalars if key.startswith(("dup_", "iqr_")) else aggregates)[key] = c
-    plain = [c.alias(k) for k, c in aggregates.items()] or [F.lit(1).alias("_one")]
-    one = df.agg(*plain) if aggregates else df.sparkSession.range(1).select(*plain)
-    one = one.withColumns(scalars) if scalars else one
+def _report_rows(one: DataFrame, dataset: str, outcomes: Sequence[Outcome]) -> DataFrame:
     rows = [
         F.struct(
-            F.lit(k).alias("position"),
             F.lit(dataset).alias("dataset"),
             F.lit(o.name).alias("check"),
             o.passed.alias("passed"),
@@ -194,7 +181,7 @@ def run_suite(df: DataFrame, dataset: str, checks: Sequence) -> DataFrame:
             o.details.alias("details"),
             (F.lit(True) if o.applies is None else F.coalesce(o.applies, F.lit(False))).alias("applies"),
         )
-        for k, o in enumerate(outcomes)
+        for o in outcomes
     ]
     return (
         one.select(F.explode(F.array(*rows)).alias("r")).select("r.*").filter("applies")
@@ -202,6 +189,18 @@ def run_suite(df: DataFrame, dataset: str, checks: Sequence) -> DataFrame:
     )
 
 
+def run_suite(df: DataFrame, dataset: str, checks: Sequence) -> DataFrame:
+    """Run the checks of one dataset; one report row per check that applies."""
+    outcomes = [o for i, check in enumerate(checks) for o in check(df, i)]
+    shared = [o for o in outcomes if o.own_row is None]
+    aggregates = {k: c for o in shared for k, c in o.aggregates.items()}
+    reports = [_report_rows(o.own_row, dataset, [o]) for o in outcomes if o.own_row is not None]
+    if shared:
+        one = df.agg(*[c.alias(k) for k, c in aggregates.items()]) if aggregates else df.sparkSession.range(1)
+        reports.insert(0, _report_rows(one, dataset, shared))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def source_report(spark: SparkSession, dataset: str, present: bool) -> DataFrame:
     """Report row for a source that is absent (critical) or present."""
     return spark.createDataFrame(

@@ -18,12 +18,15 @@ RISK_COLUMNS = [
 ]
 
 
-def bounds(df: DataFrame, columns) -> Column:
-    """Minimum, maximum and known count of each column: one pass, one row, as a scalar subquery."""
+def bounds(df: DataFrame, columns) -> dict:
+    """Minimum, maximum and known count of each column: one pass, one row on the driver.
+
+    As literals they keep the plan small; as subqueries each use would plan the input again.
+    """
     parts = []
     for c in columns:
         parts += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"), F.count(c).alias(f"n_{c}")]
-    return df.agg(F.struct(*parts)).scalar()
+    return df.agg(*parts).first().asDict()
 
 
 def heuristic_score(df: DataFrame, weights: dict[str, tuple[int, bool]] | None = None, out="risk_score_heuristic") -> DataFrame:
@@ -33,15 +36,15 @@ def heuristic_score(df: DataFrame, weights: dict[str, tuple[int, bool]] | None =
     if not weights:
         return df.withColumn(out, F.lit(0.0))
     b = bounds(df, weights)
-    add = lambda terms: reduce(lambda p, q: p + q, terms)
-    parts, totals = [], []
-    for f, (weight, lowers) in weights.items():
-        scaled = x.min_max_score(F.col(f), b[f"min_{f}"], b[f"max_{f}"], lowers)
-        present = b[f"n_{f}"] > 0
-        parts.append(F.when(present, F.coalesce(scaled, F.lit(50.0)) * weight).otherwise(0.0))
-        totals.append(F.when(present, weight).otherwise(0))
-    total = add(totals)
-    return df.withColumn(out, x.clip(F.when(total > 0, add(parts) / total).otherwise(0.0), 0, 100))
+    known = {f: w for f, w in weights.items() if b[f"n_{f}"]}
+    if not known:
+        return df.withColumn(out, F.lit(0.0))
+    parts = []
+    for f, (weight, lowers) in known.items():
+        scaled = x.min_max_score(F.col(f), F.lit(b[f"min_{f}"]), F.lit(b[f"max_{f}"]), lowers)
+        parts.append(F.coalesce(scaled, F.lit(50.0)) * weight)
+    score = reduce(lambda p, q: p + q, parts) / sum(w for w, _ in known.values())
+    return df.withColumn(out, x.clip(score, 0, 100))
 
 
 def blended_score(df: DataFrame, ml: str | None = None, heuristic="risk_score_heuristic", out="risk_score") -> DataFrame:

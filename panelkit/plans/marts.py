@@ -182,7 +182,7 @@ def energy_mix(latest: DataFrame) -> DataFrame:
         [ENTITY], parts, "source", "share")
 
 
-def top_risks(risk: DataFrame, dim: DataFrame, k=15) -> DataFrame:
+def top_risks(risk: DataFrame, k=15) -> DataFrame:
     rows = latest_slice(risk).select(ENTITY, "country", "risk_score")
     return top_k(rows, "risk_score", k)
 
