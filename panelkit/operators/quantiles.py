@@ -36,15 +36,15 @@ def exact_quantiles(
     sketch = F.percentile_approx("value", edges, accuracy)
     bounds = long.groupBy(*group).agg(
         F.count("*").alias("total"), sketch.alias("edges"), F.min("value").alias("least"), F.max("value").alias("most"))
+    small = F.col("total") < 2 * accuracy
     slots = []
     for i, p in enumerate(probs):
         position = F.lit(float(p)) * (F.col("total") - 1)
-        low = F.col("least") if p <= slack else F.col("edges")[2 * i]
-        high = F.col("most") if p >= 1 - slack else F.col("edges")[2 * i + 1]
-        # one more rank on either side of small groups, where a rank is wider than the slack
+        # below two ranks per unit of sketch error the bracket is the whole (small) group
+        low = F.col("least") if p <= slack else F.when(small, F.col("least")).otherwise(F.col("edges")[2 * i])
+        high = F.col("most") if p >= 1 - slack else F.when(small, F.col("most")).otherwise(F.col("edges")[2 * i + 1])
         slots.append(F.struct(
-            F.lit(float(p)).alias("prob"), low.alias("low"),
-            F.when(F.col("total") * slack < 1, F.col("most")).otherwise(high).alias("high"),
+            F.lit(float(p)).alias("prob"), low.alias("low"), high.alias("high"),
             F.floor(position).alias("below"), F.ceil(position).alias("above"),
             (position - F.floor(position)).alias("fraction")))
     bounds = bounds.select(*group, F.array(*slots).alias("slots"))
