@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit.config import ENTITY, PERIOD
 from panelkit.functions.expressions import try_number
-from panelkit.session import store
+from panelkit.session import store, store_counted
 
 BROADCAST_ROWS = 200_000
 
@@ -20,8 +20,8 @@ def attach(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "le
     that both sides are shuffled on (key, salt), so a key holding a third of the rows is spread
     over ``salts`` tasks.
     """
-    small = store(small, "attach")
-    if small.count() <= BROADCAST_ROWS:
+    small, rows = store_counted(small, "attach")
+    if rows <= BROADCAST_ROWS:
         return big.join(F.broadcast(small), list(keys), how)
     salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     others = [c for c in big.columns if c not in keys] or list(keys)

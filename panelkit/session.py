@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def build_session(app: str = "panelkit", master: str | None = None, **settings: str) -> SparkSession:
@@ -50,4 +50,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """The same with the number of rows, counted while writing."""
+    rows = Observation()
+    stored = store(df.observe(rows, F.count(F.lit(1)).alias("n")), name)
+    return stored, rows.get["n"]
