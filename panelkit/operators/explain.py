@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
@@ -18,14 +17,9 @@ from panelkit.operators.relational import top_k
 from panelkit.session import scratch_path, store
 
 
-@dataclass(frozen=True)
-class Leaf:
-    """One leaf of one tree: the interval each path feature has to lie in, and what the leaf adds
-    to each of them for every combination of met and unmet intervals."""
-    features: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    table: np.ndarray
+# One leaf of one tree: the features on its path, the interval (low, high] each has to lie in, and
+# what the leaf adds to each of them for every combination of met and unmet intervals.
+Leaf = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def tree_nodes(spark: SparkSession, model) -> tuple[list[list], list[float]]:
@@ -79,8 +73,8 @@ def leaves_of(trees: list[dict], weights: list[float]) -> tuple[list[Leaf], floa
                 cover = np.array([path[f][2] for f in names])
                 base += value * float(np.prod(cover))
                 if names:
-                    leaves.append(Leaf(np.array(names), np.array([path[f][0] for f in names]),
-                                       np.array([path[f][1] for f in names]), _leaf_table(value, cover)))
+                    leaves.append((np.array(names), np.array([path[f][0] for f in names]),
+                                   np.array([path[f][1] for f in names]), _leaf_table(value, cover)))
                 continue
             f, cut = node["featureIndex"], node["leftCategoriesOrThreshold"][0]
             low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
@@ -93,10 +87,10 @@ def leaves_of(trees: list[dict], weights: list[float]) -> tuple[list[Leaf], floa
 
 def _attribute(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
     out = np.zeros_like(x)
-    for leaf in leaves:
-        v = x[:, leaf.features]
-        pattern = ((v > leaf.low) & (v <= leaf.high)) @ (1 << np.arange(len(leaf.features)))
-        out[:, leaf.features] += leaf.table[pattern]
+    for features, low, high, table in leaves:
+        v = x[:, features]
+        pattern = ((v > low) & (v <= high)) @ (1 << np.arange(len(features)))
+        out[:, features] += table[pattern]
     return out
 
 

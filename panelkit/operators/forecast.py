@@ -23,7 +23,7 @@ from panelkit.config import BAND_90, ENTITY, HORIZON, PERIOD
 from panelkit.functions.expressions import clip
 from panelkit.operators.relational import full_outer
 from panelkit.operators.windows import lagged_sequences, standardise_by_entity
-from panelkit.session import store
+from panelkit.session import spread, store
 
 MODELS = ["prophet", "lstm", "arima", "np"]
 LAGS = 5
@@ -165,7 +165,7 @@ def _steps(state: DataFrame, horizon: int) -> Column:
 
 def pooled_tree_forecast(df: DataFrame, value="co2", horizon=HORIZON, trees=20, depth=4, seed=42,
                          entity=ENTITY, period=PERIOD) -> DataFrame:
-    lags = store(lag_table(df, value, entity=entity, period=period), "lags")
+    lags = spread(store(lag_table(df, value, entity=entity, period=period), "lags"))
     names = [f"lag_{i}" for i in range(1, LAGS + 1)]
     assembler = VectorAssembler(inputCols=names, outputCol="features")
     model = GBTRegressor(featuresCol="features", labelCol="z", predictionCol="p", maxIter=trees, maxDepth=depth,
@@ -174,9 +174,9 @@ def pooled_tree_forecast(df: DataFrame, value="co2", horizon=HORIZON, trees=20,
     def predict(state, out):
         return model.copy().setPredictionCol(out).transform(assembler.transform(state)).drop("features")
 
-    spread = predict(lags, "p").groupBy(entity).agg(
+    residuals = predict(lags, "p").groupBy(entity).agg(
         F.stddev_pop((F.col("z") - F.col("p")) * F.col("series_std")).alias("resid"))
-    path = _recursive(predict, _start_state(lags, entity, period), horizon).join(spread, entity)
+    path = _recursive(predict, _start_state(lags, entity, period), horizon).join(residuals, entity)
     rows = path.select(entity, "last", "resid", _steps(path, horizon))
     v = clip(F.col("step.v"), lo=0)
     half = BAND_90 * F.col("resid")

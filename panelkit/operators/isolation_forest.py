@@ -18,7 +18,7 @@ from panelkit import config
 from panelkit.config import ENTITY, PERIOD
 from panelkit.functions.expressions import finite
 from panelkit.operators.quantiles import exact_quantiles, quantile_columns
-from panelkit.session import store
+from panelkit.session import spread, store
 
 EULER = 0.5772156649015329
 
@@ -33,7 +33,7 @@ def prepare(df: DataFrame, features: Sequence[str], known: str) -> DataFrame:
     """Rows with ``known`` set; missing or infinite features become the column median; then
     standardised with the population deviation. Result columns ``z_<feature>``."""
     rows = df.filter(F.col(known).isNotNull()).withColumns({f"z_{f}": finite(F.col(f)) for f in features})
-    rows = store(rows, "forest")
+    rows = spread(store(rows, "forest"))
     z = [f"z_{f}" for f in features]
     medians = quantile_columns(rows, z, {"m": 0.5}).first()
     rows = rows.withColumns({c: F.coalesce(F.col(c), F.lit(medians[f"m_{c}"]), F.lit(0.0)) for c in z})

@@ -58,3 +58,13 @@ def store_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     rows = Observation()
     stored = store(df.observe(rows, F.count(F.lit(1)).alias("n")), name)
     return stored, rows.get["n"]
+
+
+def spread(stored: DataFrame) -> DataFrame:
+    """A stored table in at least as many partitions as there are cores.
+
+    A small file is read by one task, which is right for cheap work but not before Python or
+    model code; a large table has more splits than cores already and is left alone.
+    """
+    cores = stored.sparkSession.sparkContext.defaultParallelism
+    return stored.repartition(cores) if stored.rdd.getNumPartitions() < cores else stored

@@ -277,3 +277,22 @@ def test_constant_series(spark):
     df = spark.createDataFrame([("A", 2000 + i, 7.0) for i in range(20)], "iso_code string, year int, co2 double")
     assert {r.arima_co2 for r in forecast.difference_forecast(df).collect()} == {7.0}
     assert forecast.lag_table(df).count() == 0
+
+
+def test_workers_need_no_package_on_their_path(tmp_path):
+    """From another folder, with the package on the driver's path only."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+from panelkit.session import build_session
+spark = build_session("far", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+import __spark_entry__ as e
+for name in ("anomaly_isolation_forest", "explain_shapley", "cluster_silhouette"):
+    assert e.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
