@@ -169,10 +169,11 @@ def select_by_code(spark, sf):
 
 
 @query("coerce_text_numbers", """
-SELECT doc_id, TRY_CAST(trim(left(text, 3)) AS DOUBLE) AS number, TRY_CAST(trim(source) AS DOUBLE) AS other FROM documents""")
+SELECT o_orderkey, TRY_CAST(trim(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority WHEN o_orderstatus = 'F' THEN '  ' || o_totalprice::VARCHAR ELSE '*******' END) AS DOUBLE) AS number FROM orders""")
 def coerce_text_numbers(spark, sf):
-    return table(spark, sf, "documents").select(
-        "doc_id", x.try_number(F.substring("text", 1, 3)).alias("number"), x.try_number(F.col("source")).alias("other"))
+    text = (F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority"))
+            .when(F.col("o_orderstatus") == "F", F.concat(F.lit("  "), F.col("o_totalprice").cast("string"))).otherwise("*******"))
+    return table(spark, sf, "orders").select("o_orderkey", x.try_number(text).alias("number"))
 
 
 @query("replace_non_finite", with_fact("""
@@ -320,11 +321,11 @@ def reshape_unpivot_years(spark, sf):
 
 
 @query("reshape_pivot_features", with_fact("""
-SELECT iso_code, round(max(coal_share) FILTER (WHERE year = 1996), 4) AS shap_coal_share, round(max(gas_share) FILTER (WHERE year = 1996), 4) AS shap_gas_share
-FROM fact GROUP BY iso_code"""))
+SELECT iso_code, round(max(coal_share) FILTER (WHERE year = (SELECT max(year) FROM fact)), 4) AS shap_coal_share, round(max(gas_share) FILTER (WHERE year = (SELECT max(year) FROM fact)), 4) AS shap_gas_share
+FROM fact GROUP BY iso_code HAVING count(*) FILTER (WHERE year = (SELECT max(year) FROM fact)) > 0"""))
 def reshape_pivot_features(spark, sf):
     from panelkit.operators.explain import pivot_attributions
-    f = fact(spark, sf).filter("year = 1996").select("iso_code", "coal_share", "gas_share")
+    f = rel.latest_slice(fact(spark, sf)).select("iso_code", "coal_share", "gas_share")
     long = f.unpivot("iso_code", ["coal_share", "gas_share"], "feature", "attribution")
     return rounded(pivot_attributions(long, ["coal_share", "gas_share"], ["iso_code"]))
 

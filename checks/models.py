@@ -39,12 +39,12 @@ def cluster_standardise(spark, sf):
     return rounded(points(spark, sf).select("iso_code", *Z))
 
 
-GIVEN = """given AS (SELECT p.*, CAST(s_nationkey % 3 AS INTEGER) AS cluster_id FROM points p JOIN sup ON p.iso_code = sup.iso_code)"""
+GIVEN = """given AS (SELECT p.*, CASE WHEN s_acctbal > 6500 THEN 2 WHEN s_acctbal > 2500 THEN 1 ELSE 0 END AS cluster_id FROM points p JOIN sup ON p.iso_code = sup.iso_code)"""
 
 
 def given(spark, sf) -> DataFrame:
     from checks.panel import suppliers
-    s = suppliers(spark, sf).select("iso_code", (F.col("s_nationkey") % 3).cast("int").alias("cluster_id"))
+    s = suppliers(spark, sf).select("iso_code", F.when(F.col("s_acctbal") > 6500, 2).when(F.col("s_acctbal") > 2500, 1).otherwise(0).alias("cluster_id"))
     return points(spark, sf).join(s, "iso_code")
 
 
@@ -118,7 +118,7 @@ def cluster_kmeans(spark, sf):
 
 @query("cluster_comparison")
 def cluster_comparison(spark, sf):
-    return cluster.cluster_entities(stored_fact(spark, sf, "month"), restarts=3, eps_values=[0.7, 1.0])[1]
+    return cluster.cluster_entities(stored_fact(spark, sf, "month"))[1]
 
 
 @query("anomaly_isolation_forest")

@@ -45,10 +45,6 @@ def lines(spark, sf, grain="year") -> DataFrame:
     )
 
 
-def sum_if(cond: Column, value: Column) -> Column:
-    return F.sum(F.when(cond, value)).cast("double")
-
-
 def suppliers(spark, sf) -> DataFrame:
     s = table(spark, sf, "supplier")
     return s.select(
@@ -57,33 +53,72 @@ def suppliers(spark, sf) -> DataFrame:
     )
 
 
-def wide(spark, sf, grain="year") -> DataFrame:
+def base(spark, sf, grain="year") -> DataFrame:
+    """Every sum the sources below need, per supplier and period, in one pass over the lines.
+
+    A source that is used alone keeps only its own sums: Catalyst drops the others.
+    """
     c = F.col
     done = c("status") == "F"
-    agg = lines(spark, sf, grain).groupBy("iso_code", "year").agg(
-        F.sum("qty").cast("double").alias("population"),
-        (sum_if(c("status") == "O", c("cents") * (100 - c("disc"))) / 999983.0).alias("gdp"),
-        (sum_if(done, c("cents")) / 9973.0).alias("co2"),
-        (sum_if(done & (c("flag") == "R"), c("cents")) / 9973.0).alias("coal_co2"),
-        (sum_if(done & (c("flag") == "A"), c("cents")) / 9973.0).alias("gas_co2"),
-        (sum_if(done & (c("flag") == "N"), c("cents") * c("disc")) / 999983.0).alias("oil_co2"),
-        (F.sum(c("cents") * c("tax")).cast("double") / 999983.0).alias("energy"),
-    )
+    sums = [
+        F.count("*").alias("n"), F.sum("qty").alias("qty"), F.sum("disc").alias("disc"),
+        F.sum(F.when(c("status") == "O", c("cents") * (100 - c("disc")))).alias("open_net"),
+        F.sum(F.when(done, c("cents"))).alias("done"),
+        F.sum(F.when(done & (c("flag") == "R"), c("cents"))).alias("done_r"),
+        F.sum(F.when(done & (c("flag") == "A"), c("cents"))).alias("done_a"),
+        F.sum(F.when(done & (c("flag") == "N"), c("cents") * c("disc"))).alias("done_n"),
+        F.sum(c("cents") * c("tax")).alias("taxed"),
+    ]
+    for out, (cond, value, _) in {**INDICATORS, **SCORES}.items():
+        sums += [F.count_if(F.expr(cond)).alias(f"n_{out}"), F.sum(F.when(F.expr(cond), F.expr(value))).alias(f"s_{out}")]
+    return lines(spark, sf, grain).groupBy("iso_code", "year").agg(*sums)
+
+
+def wide_of(rows: DataFrame, names: DataFrame) -> DataFrame:
+    amount = lambda c, unit: (F.col(c).cast("double") / unit)
     return (
-        agg.withColumn("co2_per_capita", c("co2") / c("population"))
-        .withColumn("energy_per_capita", c("energy") / c("population"))
+        rows.select(
+            "iso_code", "year", F.col("qty").cast("double").alias("population"), amount("open_net", 999983.0).alias("gdp"),
+            amount("done", 9973.0).alias("co2"), amount("done_r", 9973.0).alias("coal_co2"),
+            amount("done_a", 9973.0).alias("gas_co2"), amount("done_n", 999983.0).alias("oil_co2"),
+            amount("taxed", 999983.0).alias("energy"))
+        .withColumn("co2_per_capita", F.col("co2") / F.col("population"))
+        .withColumn("energy_per_capita", F.col("energy") / F.col("population"))
         .drop("energy")
-        .join(suppliers(spark, sf).select("iso_code", "country"), "iso_code", "left")
+        .join(names.select("iso_code", "country"), "iso_code", "left")
     )
 
 
+def by_period_of(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("year").agg(
+        (F.sum("disc").cast("double") / F.sum("n").cast("double") / 4.99).alias("temperature_anomaly"))
+
+
+def means_of(rows: DataFrame, specs: dict) -> DataFrame:
+    mean = lambda out, divisor: F.when(
+        F.col(f"n_{out}") > 0, F.col(f"s_{out}").cast("double") / F.col(f"n_{out}").cast("double") / divisor)
+    return rows.select("iso_code", "year", *[mean(out, d).alias(out) for out, (_, _, d) in specs.items()]).filter(
+        F.coalesce(*specs).isNotNull())
+
+
+def wide(spark, sf, grain="year") -> DataFrame:
+    return wide_of(base(spark, sf, grain), suppliers(spark, sf))
+
+
 def by_period(spark, sf, grain="year") -> DataFrame:
-    return lines(spark, sf, grain).groupBy("year").agg(
-        (F.sum("disc").cast("double") / F.count("*").cast("double") / 4.99).alias("temperature_anomaly")
-    )
+    return by_period_of(base(spark, sf, grain))
+
+
+def indicators(spark, sf, grain="year") -> DataFrame:
+    return means_of(base(spark, sf, grain), INDICATORS)
+
+
+def scores(spark, sf, grain="year") -> DataFrame:
+    return means_of(base(spark, sf, grain), SCORES)
 
 
 def indicator(spark, sf, out: str, grain="year") -> DataFrame:
+    """One indicator as its own source, from the lines it covers."""
     cond, value, _ = INDICATORS[out]
     return lines(spark, sf, grain).filter(cond).groupBy("iso_code", "year").agg(
         (F.sum(F.expr(value)).cast("double") / F.count("*").cast("double")).alias(out)
@@ -103,24 +138,6 @@ SCORES = {
 }
 
 
-def _filtered_means(spark, sf, grain, specs) -> DataFrame:
-    aggs = []
-    for out, (cond, value, divisor) in specs.items():
-        hit = F.expr(cond)
-        n = F.count_if(hit)
-        mean = F.when(n > 0, F.sum(F.when(hit, F.expr(value))).cast("double") / n.cast("double") / divisor)
-        aggs.append(mean.alias(out))
-    return lines(spark, sf, grain).groupBy("iso_code", "year").agg(*aggs).filter(F.coalesce(*specs).isNotNull())
-
-
-def indicators(spark, sf, grain="year") -> DataFrame:
-    return _filtered_means(spark, sf, grain, INDICATORS)
-
-
-def scores(spark, sf, grain="year") -> DataFrame:
-    return _filtered_means(spark, sf, grain, SCORES)
-
-
 def lookup(spark, sf) -> DataFrame:
     """Continent = region of the supplier (one region left out), income group by balance."""
     nation = F.broadcast(table(spark, sf, "nation"))
@@ -137,10 +154,10 @@ def lookup(spark, sf) -> DataFrame:
 
 
 def fact(spark, sf, grain="year") -> DataFrame:
+    """The four sources come from one stored pass over the lines, so these are scanned once."""
+    rows = store(base(spark, sf, grain), "base")
     return star.build_fact(
-        wide(spark, sf, grain), by_period(spark, sf, grain),
-        indicators(spark, sf, grain), scores(spark, sf, grain),
-    )
+        wide_of(rows, suppliers(spark, sf)), by_period_of(rows), means_of(rows, INDICATORS), means_of(rows, SCORES))
 
 
 def stored_fact(spark, sf, grain="year") -> DataFrame:
