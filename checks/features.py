@@ -250,12 +250,12 @@ def agg_period_totals(spark, sf):
 
 
 @query("agg_by_dimension", """
-SELECT n_name, c_mktsegment, count(*) AS members, round(avg(c_acctbal), 2) AS avg_balance, count(DISTINCT c_custkey) AS customers
+SELECT n_name, c_mktsegment, count(*) AS members, round(avg(c_acctbal) / 9.97::DOUBLE, 4) AS avg_balance, count(DISTINCT c_custkey) AS customers
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment""")
 def agg_by_dimension(spark, sf):
     j = table(spark, sf, "customer").join(F.broadcast(table(spark, sf, "nation")), F.expr("c_nationkey = n_nationkey"))
     return j.groupBy("n_name", "c_mktsegment").agg(
-        F.count("*").alias("members"), F.round(F.avg("c_acctbal"), 2).alias("avg_balance"),
+        F.count("*").alias("members"), F.round(F.avg("c_acctbal") / 9.97, 4).alias("avg_balance"),
         F.count_distinct("c_custkey").alias("customers"))
 
 

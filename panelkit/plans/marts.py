@@ -28,8 +28,13 @@ def of_entity(df: DataFrame, code: str) -> DataFrame:
 
 # Global overview -----------------------------------------------------------
 
+def _latest_with_risk(fact: DataFrame, risk: DataFrame) -> DataFrame:
+    """Both tables cut to the fact's last period before they are joined."""
+    return with_risk(latest_slice(fact), latest_slice(risk, of=fact))
+
+
 def global_kpis(fact: DataFrame, risk: DataFrame) -> DataFrame:
-    latest = latest_slice(with_risk(fact, risk))
+    latest = _latest_with_risk(fact, risk)
     return latest.agg(
         F.max(PERIOD).alias("latest_year"),
         F.count_distinct(ENTITY).alias("total_countries"),
@@ -41,7 +46,7 @@ def global_kpis(fact: DataFrame, risk: DataFrame) -> DataFrame:
 
 
 def top_emitters(fact: DataFrame, risk: DataFrame, k=10) -> DataFrame:
-    latest = latest_slice(with_risk(fact, risk))
+    latest = _latest_with_risk(fact, risk)
     return top_k(latest.select(ENTITY, "country", "co2", "co2_per_capita", "risk_score"), "co2", k)
 
 

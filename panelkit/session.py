@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
+_local_dirs: dict[str, str] = {}  # of local sessions without the setting, by application
+
+
 def build_session(app: str = "panelkit", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -33,8 +36,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        path = tempfile.mkdtemp(prefix="panelkit-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        app = spark.sparkContext.applicationId
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="panelkit-")
+        path = _local_dirs[app]
     return path.rstrip("/")
 
 

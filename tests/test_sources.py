@@ -147,3 +147,32 @@ def test_batch_forecasts_and_export(spark, built):
 def test_batch_stops_on_a_critical_failure(spark, tmp_path):
     gate = jobs.run_all(spark, str(tmp_path), scratch_path(spark, "empty")).first()
     assert gate.gate_open is False and gate.critical == 8
+
+
+def test_shared_dir_without_the_setting(tmp_path):
+    """A local session falls back to its own folder; a cluster session is refused."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+from panelkit import session
+spark = session.build_session("bare", "local[2]", **{{"spark.ui.enabled": "false"}})
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+assert session.shared_dir(spark) == session.shared_dir(spark)
+assert session.store_counted(spark.range(5), "t")[1] == 5
+
+class Far:
+    class conf:
+        get = staticmethod(lambda key, default: default)
+    class sparkContext:
+        master = "yarn"
+try:
+    session.shared_dir(Far)
+except RuntimeError:
+    print("refused")
+"""
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path)}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0 and "refused" in done.stdout, done.stderr[-2000:]
