@@ -29,12 +29,18 @@ def _period(grain: str) -> Column:
 
 
 def _cents(c: str) -> Column:
-    return F.round(F.col(c) * 100).cast("long")
+    """Whole cents of a non-negative amount; plain arithmetic, as ``round`` on doubles goes through decimals."""
+    return (F.col(c) * 100 + 0.5).cast("long")
+
+
+def _code(c: str) -> Column:
+    return F.concat(F.lit("S"), F.lpad(F.col(c).cast("string"), 9, "0"))
 
 
 def lines(spark, sf, grain="year") -> DataFrame:
     return table(spark, sf, "lineitem").select(
-        F.concat(F.lit("S"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("iso_code"),
+        "l_suppkey",
+        _code("l_suppkey").alias("iso_code"),
         _period(grain).alias("year"),
         _cents("l_extendedprice").alias("cents"),
         _cents("l_discount").alias("disc"),
@@ -48,7 +54,7 @@ def lines(spark, sf, grain="year") -> DataFrame:
 def suppliers(spark, sf) -> DataFrame:
     s = table(spark, sf, "supplier")
     return s.select(
-        F.concat(F.lit("S"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("iso_code"),
+        _code("s_suppkey").alias("iso_code"),
         F.col("s_name").alias("country"), "s_nationkey", "s_acctbal",
     )
 
@@ -71,7 +77,8 @@ def base(spark, sf, grain="year") -> DataFrame:
     ]
     for out, (cond, value, _) in {**INDICATORS, **SCORES}.items():
         sums += [F.count_if(F.expr(cond)).alias(f"n_{out}"), F.sum(F.when(F.expr(cond), F.expr(value))).alias(f"s_{out}")]
-    return lines(spark, sf, grain).groupBy("iso_code", "year").agg(*sums)
+    rows = lines(spark, sf, grain).groupBy("l_suppkey", "year").agg(*sums)
+    return rows.select(_code("l_suppkey").alias("iso_code"), *[n for n in rows.columns if n != "l_suppkey"])
 
 
 def wide_of(rows: DataFrame, names: DataFrame) -> DataFrame:

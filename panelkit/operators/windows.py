@@ -39,11 +39,15 @@ def rolling_mean(value: str, rows=5, min_values=2, entity=ENTITY, period=PERIOD)
 
 
 def fill_both(value: str, entity=ENTITY, period=PERIOD) -> Column:
-    """Forward fill, then backward fill what is still missing at the start."""
+    """Forward fill, then backward fill what is still missing at the start.
+
+    After the forward fill only rows before the first known value are missing, so the backward
+    fill is that value: one frame over the whole series, not one per row.
+    """
     w = history(entity, period)
     return F.coalesce(
         F.last(value, True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
-        F.first(value, True).over(w.rowsBetween(0, Window.unboundedFollowing)),
+        F.first(value, True).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
     )
 
 
