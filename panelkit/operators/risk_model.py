@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from panelkit import config
 from panelkit.functions import expressions as x
 from panelkit.operators.risk import blended_score, bounds, heuristic_score
-from panelkit.session import spread, store_counted
+from panelkit.session import spread, store
 
 
 def _features(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -37,7 +37,8 @@ def train(df: DataFrame, features: Sequence[str] | None = None, target: str = co
     The training rows are stored once: boosting passes over them once per tree.
     """
     features = [f for f in (features or config.RISK_FEATURES) if f in df.columns and f != target]
-    rows, n = store_counted(_features(training_rows(df, features, target), features).select("features", "label"), "train")
+    rows = store(_features(training_rows(df, features, target), features).select("features", "label"), "train")
+    n = rows.count()
     if n < min_rows:
         return None, None, features
     rows = spread(rows)

@@ -59,7 +59,11 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def store_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """The same with the number of rows, counted while writing."""
+    """The same with the number of rows, counted while writing.
+
+    Tasks that are run again after a lost executor count again, so the number is never too low but
+    may be too high: fit for choosing a safe plan, not for reporting.
+    """
     rows = Observation()
     stored = store(df.observe(rows, F.count(F.lit(1)).alias("n")), name)
     return stored, rows.get["n"]

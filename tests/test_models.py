@@ -70,6 +70,13 @@ def test_dbscan_chain_is_one_cluster(spark):
     assert {r.dbscan_cluster for r in density.dbscan(df, names, 0.35).collect()} == {0}
 
 
+@pytest.mark.parametrize("pair_work", [0, 1000])
+def test_dbscan_of_noise_only(spark, monkeypatch, pair_work):
+    monkeypatch.setattr(density, "PAIR_WORK", pair_work)
+    df, names = frame(spark, np.array([[10.0 * i, 0.0] for i in range(8)]))
+    assert [r.dbscan_cluster for r in density.dbscan(df, names, 0.5).collect()] == [-1] * 8
+
+
 def test_dbscan_many_copies_of_one_point(spark, monkeypatch):
     monkeypatch.setattr(density, "PAIR_WORK", 0)
     x = np.concatenate([np.zeros((400, 2)), np.array([[0.3, 0.0], [5.0, 5.0]])])

@@ -130,6 +130,13 @@ def test_attach_broadcast_and_salted_agree(spark, monkeypatch):
     assert sorted(map(str, rel.attach(big, small, ["k"], salts=4).select("k", "v", "s").collect())) == expected
 
 
+def test_attach_an_empty_key_table(spark):
+    big = spark.createDataFrame([("a", 1)], "k string, v int")
+    empty = big.filter("v > 5").groupBy("k").agg(F.sum("v").alias("s"))
+    assert [(r.k, r.s) for r in rel.attach(big, empty, ["k"]).collect()] == [("a", None)]
+    assert rel.attach(big, empty, ["k"], "inner").count() == 0
+
+
 def test_keep_one_and_bottom_ranking(spark):
     df = spark.createDataFrame([("a", 1, 5.0), ("a", 2, 6.0), ("b", 1, None)], "iso_code string, year int, v double")
     assert [r.v for r in rel.keep_one(df, ["iso_code"], [F.desc("year")]).orderBy("iso_code").collect()] == [6.0, None]
