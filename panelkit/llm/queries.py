@@ -1,4 +1,4 @@
 """All queries of this folder: importing it registers them."""
 
-from panelkit.llm import substring_dedup  # noqa: F401
+from panelkit.llm import jaccard_join, substring_dedup, suffix_dedup  # noqa: F401
 from panelkit.llm.registry import ORACLES, QUERIES  # noqa: F401
