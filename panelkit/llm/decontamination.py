@@ -9,7 +9,6 @@ Proximity search intersects the documents of the lists and slides over their mer
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,9 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from panelkit.llm.exchange import stored_bytes
 from panelkit.llm.registry import query, table
-from panelkit.llm.words import P1, PLAIN_WORDS, mix, words_of
+from panelkit.llm.words import PLAIN_WORDS, words_of
 from panelkit.session import store
 
 WINDOW = 10

@@ -14,12 +14,13 @@ Spark runs it once.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 BLOCK_BYTES = 2 << 20  # of the input's stored size
 BUCKET_BYTES = 8 << 20
@@ -38,11 +39,15 @@ def pieces(df: DataFrame, each: int) -> int:
     return int(min(max(least, stored_bytes(df) // each), 2**30))
 
 
-def in_blocks(docs: DataFrame, id_col: str, text_col: str, each: int = BLOCK_BYTES) -> DataFrame:
-    """id, known, text, block. Rows without an id get ``NO_ID`` and known = false."""
+def in_blocks(docs: DataFrame, id_col: str, text_col: str, each: int = BLOCK_BYTES, carry: Sequence[str] = ()) -> DataFrame:
+    """id, known, text, carried (a struct of other columns that come along), block.
+
+    Rows without an id get ``NO_ID`` and known = false.
+    """
     n = pieces(docs, each)
-    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    own = own.select(F.coalesce("id", F.lit(NO_ID)).alias("id"), F.col("id").isNotNull().alias("known"), "text")
+    carried = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(True).alias("none"))
+    own = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), carried.alias("carried"))
+    own = own.select(F.coalesce("id", F.lit(NO_ID)).alias("id"), F.col("id").isNotNull().alias("known"), "text", "carried")
     return own.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n)).cast("int"))
 
 
@@ -102,7 +107,7 @@ def ask_again(blocks: DataFrame, answers: DataFrame, question: Callable[[int, pa
     return asked.groupBy("bucket").applyInArrow(reply, PACKED)
 
 
-def conclude(blocks: DataFrame, answers: DataFrame, result: Callable[[pa.Table, list[bytes]], pa.Table], schema: str) -> DataFrame:
+def conclude(blocks: DataFrame, answers: DataFrame, result: Callable[[pa.Table, list[bytes]], pa.Table], schema: str | StructType) -> DataFrame:
     """result(rows, payloads by bucket) for every block, also for those that asked nothing."""
     def end(key, rows, told):
         return result(tidy(rows), rows_of(told)[2])
@@ -110,6 +115,35 @@ def conclude(blocks: DataFrame, answers: DataFrame, result: Callable[[pa.Table,
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(end, schema)
 
 
+def two_answers(blocks: DataFrame, near: DataFrame, far: DataFrame, result: Callable[[pa.Table, tuple[list[bytes], list[bytes]]], pa.Table], schema: str | StructType) -> DataFrame:
+    """result(rows, (payloads of the first answer, payloads of the second)) for every block."""
+    both = near.union(far.selectExpr("block", "-1 - bucket", "payload"))
+
+    def end(key, rows, told):
+        _, bucket, payload = rows_of(told)
+        split = sum(b < 0 for b in bucket)
+        return result(tidy(rows), (payload[split:], payload[:split][::-1]))
+
+    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(end, schema)
+
+
+def with_carried(schema: str, blocks: DataFrame, carry: Sequence[str]) -> StructType:
+    """The schema of a result to which the carried columns are added by name."""
+    own = StructType.fromDDL(schema)
+    return StructType(own.fields + (list(blocks.schema["carried"].dataType.fields) if carry else []))
+
+
+def ids_of(rows: pa.Table) -> pa.Array:
+    known = rows["known"].to_numpy()
+    return pa.array(rows["id"].to_numpy(), pa.int64(), mask=~known)
+
+
+def carried_of(rows: pa.Table, carry: Sequence[str]) -> dict[str, pa.Array]:
+    flat = rows["carried"].combine_chunks()
+    flat = pa.concat_arrays(flat.chunks) if isinstance(flat, pa.ChunkedArray) else flat
+    return dict(zip(carry, flat.flatten())) if carry else {}
+
+
 # Which hashes occur at least twice. The fingerprint has 32 bits beside the bucket's own, so a few
 # hashes are called shared that are not; callers verify what they keep.
 

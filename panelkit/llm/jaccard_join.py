@@ -12,9 +12,12 @@ bound and the others by counting the difference alone. Sets already connected ar
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from panelkit.llm import exchange
 from panelkit.llm.graph import components
@@ -87,8 +90,8 @@ def _sets(rows: pa.Table, told: list[bytes], n_words: int, percent: int, buckets
     prefix = size - (-(-percent * size // 100)) + 1 - (size - shared)
     return pa.table({
         "id": rows["id"], "known": rows["known"], "n": pa.array(size, pa.int64()), "one": pa.array(one.view(np.int64)), "two": pa.array(two.view(np.int64)),
-        "held": pa.array(held, pa.binary()), "prefix": pa.array(np.where(may, prefix, 0), pa.int32()),
-    }).cast(pa.schema([("id", pa.int64()), ("known", pa.bool_()), ("n", pa.int64()), ("one", pa.int64()), ("two", pa.int64()), ("held", pa.binary()), ("prefix", pa.int32())]))
+        "held": pa.array(held, pa.binary()), "prefix": pa.array(np.where(may, prefix, 0), pa.int32()), "carried": rows["carried"],
+    })
 
 
 def link_sets(sizes: np.ndarray, prefix: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -115,7 +118,7 @@ def link_sets(sizes: np.ndarray, prefix: np.ndarray, sets: list[np.ndarray], per
     tokens = lambda i: flat[edge[i]:edge[i + 1]]
 
     def holders(of: np.ndarray) -> np.ndarray:
-        return lists[exchange_ranges(list_edge[of], list_edge[of + 1])]
+        return lists[between(list_edge[of], list_edge[of + 1])]
 
     def connect(i: int, others: np.ndarray) -> None:
         gone = np.unique(np.append(root[others], root[i]))
@@ -129,11 +132,11 @@ def link_sets(sizes: np.ndarray, prefix: np.ndarray, sets: list[np.ndarray], per
         # Blocks of a list beyond this position leave too few elements for any partner.
         last = 100 * size[pivot] // percent - (-(-percent * size[pivot] // 100))
         mine = tokens(pivot)[:prefix[back[pivot]]].astype(np.int64)
-        seen = head_owner[exchange_ranges(np.searchsorted(head_key, mine * width), np.searchsorted(head_key, mine * width + last, "right"))]
+        seen = head_owner[between(np.searchsorted(head_key, mine * width), np.searchsorted(head_key, mine * width + last, "right"))]
         seen = np.unique(seen[(seen >= least) & (seen < most)])
         mark[tokens(pivot)] = True
         overlap = np.zeros(n, np.int64)
-        overlap[seen] = np.add.reduceat(mark[flat[exchange_ranges(edge[seen], edge[seen + 1])]].astype(np.int64), np.cumsum(length[seen]) - length[seen]) if len(seen) else 0
+        overlap[seen] = np.add.reduceat(mark[flat[between(edge[seen], edge[seen + 1])]].astype(np.int64), np.cumsum(length[seen]) - length[seen]) if len(seen) else 0
         mark[tokens(pivot)] = False
         alike = seen[(overlap[seen] >= need(size[pivot], size[seen], percent)) & (seen != pivot)]
         done[pivot] = True
@@ -165,7 +168,7 @@ def link_sets(sizes: np.ndarray, prefix: np.ndarray, sets: list[np.ndarray], per
     return out
 
 
-def exchange_ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+def between(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     size = high - low
     size = np.maximum(size, 0)
     if not len(size) or not size.sum():
@@ -184,17 +187,19 @@ def _link_family(rows: pa.Table, percent: int) -> pa.Table:
     return pa.table({"a": pa.array(node[linked], pa.int64()), "b": pa.array(node[root[linked]], pa.int64())})
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4, percent: int = 85) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id.
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4, percent: int = 85, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, group, and the columns named in ``carry``.
 
     Two rows link when 100 * intersection >= percent * union of their sets of distinct ``n_words``
     shingles (A-Z lower-cased; fewer words make one shingle of the whole). component_id is the
     smallest id reachable by links, the row's own included; rows without an id have no say in it and
-    get null when all they reach have none. Null, empty and blank texts link with nothing. Rows with
+    get null when all they reach have none. Connected rows, and only they, have the same group; it is null
+    for rows without shingles. Null, empty and blank texts link with nothing. Rows with
     one id and different texts are nodes of their own. Other columns are not read.
     """
-    blocks = exchange.in_blocks(docs, id_col, text_col)
+    blocks = exchange.in_blocks(docs, id_col, text_col, carry=carry)
     buckets = exchange.pieces(docs, exchange.BUCKET_BYTES)
+    schema = StructType(StructType.fromDDL(ROW).fields + [blocks.schema["carried"]])
 
     def question(block, rows):
         _, value, _ = shingles(rows["text"], n_words)
@@ -203,7 +208,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return exchange.pack(block, (keys >> np.uint64(32)).astype(np.int64), [keys.astype(np.uint32), np.minimum(count, 255).astype(np.uint8)])
 
     counts = exchange.ask(blocks, question, _add_up)
-    rows = store(exchange.conclude(blocks, counts, lambda rows, told: _sets(rows, told, n_words, percent, buckets), ROW), "sets")
+    rows = store(exchange.conclude(blocks, counts, lambda rows, told: _sets(rows, told, n_words, percent, buckets), schema), "sets")
     classes = rows.filter("held IS NOT NULL").dropDuplicates(["one", "two"]).select("one", "two", "n", "prefix", "held")
     classes = store(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
@@ -232,13 +237,16 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     lowest = rows.filter("known AND n > 0").groupBy("one", "two").agg(F.min("id").alias("lowest"))
     lowest = lowest.join(classes, ["one", "two"], "left")
     reach = lowest.filter("root IS NOT NULL").groupBy("root").agg(F.min("lowest").alias("reach"))
-    lowest = lowest.join(reach, "root", "left").select("one", "two", F.coalesce("reach", "lowest").alias("reach"))
+    lowest = lowest.join(reach, "root", "left").select("one", "two", "root", F.coalesce("reach", "lowest").alias("reach"))
     # A class none of whose rows has an id reaches one through its root.
-    orphans = classes.join(lowest.select("one", "two"), ["one", "two"], "left_anti").join(reach, "root").select("one", "two", "reach")
+    orphans = classes.join(lowest.select("one", "two"), ["one", "two"], "left_anti").join(reach, "root", "left").select("one", "two", "root", "reach")
     out = rows.drop("held", "prefix").join(lowest.unionByName(orphans), ["one", "two"], "left")
-    return out.select(F.expr("if(known, id, null)").alias("doc_id"), F.col("n").alias("n_shingles"), F.expr("if(n > 0, reach, if(known, id, null))").alias("component_id"))
+    return out.select(
+        F.expr("if(known, id, null)").alias("doc_id"), F.col("n").alias("n_shingles"), F.expr("if(n > 0, reach, if(known, id, null))").alias("component_id"),
+        F.expr("if(n > 0, coalesce(string(root), concat_ws('/', one, two)), null)").alias("group"), *[F.col(f"carried.`{c}`") for c in carry],
+    )
 
 
 @query("op6_jaccard_join")
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join(table(spark, sf_dir, "documents"), n_words=4, percent=85)
+    return jaccard_join(table(spark, sf_dir, "documents"), n_words=4, percent=85).drop("group")

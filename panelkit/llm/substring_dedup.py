@@ -10,8 +10,6 @@ the whole anchor is asked for by a 128-bit hash, and a window found twice is a p
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -98,7 +96,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     verified = exchange.ask_again(blocks, anchored, second, _twice)
 
     def marked(rows, told):
-        """Both answers come in one group, told apart by the sign of the bucket."""
         words = words_of(rows["text"], BLANK_WORDS, False)
         near, far = told
         place, bucket, *_, entry = _extended(words, window, buckets, exchange.joined(near))
@@ -109,22 +106,9 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             parts = text.encode().split()
             kept.append(b" ".join(parts if not gone[low:high].any() else [p for p, g in zip(parts, gone[low:high]) if not g]).decode())
         removed = np.add.reduceat(np.append(gone, False).astype(np.int64), words.first[:-1]) * (n_words > 0) if len(n_words) else n_words
-        ids = pa.array(rows["id"].to_pylist(), pa.int64(), mask=~np.array(rows["known"].to_pylist(), bool))
-        return pa.table({"doc_id": ids, "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string())})
-
-    return two_answers(blocks, anchored, verified, marked, "doc_id long, n_words long, n_removed long, kept string")
-
-
-def two_answers(blocks: DataFrame, near: DataFrame, far: DataFrame, result, schema: str) -> DataFrame:
-    """result(rows, (payloads of the first answer, payloads of the second))."""
-    both = near.union(far.selectExpr("block", "-1 - bucket", "payload"))
-
-    def end(key, rows, told):
-        _, bucket, payload = exchange.rows_of(told)
-        split = sum(b < 0 for b in bucket)
-        return result(exchange.tidy(rows), (payload[split:], payload[:split][::-1]))
+        return pa.table({"doc_id": exchange.ids_of(rows), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64()), "kept": pa.array(kept, pa.string())})
 
-    return blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(end, schema)
+    return exchange.two_answers(blocks, anchored, verified, marked, "doc_id long, n_words long, n_removed long, kept string")
 
 
 @query("op5_substring_dedup")

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelkit.llm import exchange
 from panelkit.llm.registry import query, table
-from panelkit.llm.substring_dedup import two_answers
 from panelkit.llm.words import P1, PIECE, _hash, mix, text_bytes
 
 LENGTH = 50
@@ -293,7 +292,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         lists = lambda x: pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(x - shift, pa.int32()))
         size = np.diff(at)
         return pa.table({
-            "doc_id": pa.array(ids, pa.int64(), mask=~rows["known"].to_numpy()), "n_bytes": pa.array(size, pa.int64()),
+            "doc_id": exchange.ids_of(rows), "n_bytes": pa.array(size, pa.int64()),
             "n_removed": pa.array(size - np.array([len(k) for k in kept], np.int64), pa.int64()), "n_spans": pa.array(np.diff(cut), pa.int64()),
             "kept": pa.array(kept, pa.binary()), "span_starts": lists(opens), "span_ends": lists(closes),
         })
@@ -301,7 +300,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     seeded = exchange.ask(blocks, seeds, exchange.shared_answer)
     verified = exchange.ask_again(blocks, seeded, contents, lambda payloads: _sorted_out(payloads, length))
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, span_starts array<int>, span_ends array<int>"
-    return two_answers(blocks, seeded, verified, removed, schema)
+    return exchange.two_answers(blocks, seeded, verified, removed, schema)
 
 
 @query("op1_suffix_dedup")
