@@ -22,7 +22,7 @@ from panelkit.llm.words import PLAIN_WORDS, words_of
 from panelkit.session import store
 
 WINDOW = 10
-SEGMENT_BYTES = 16 << 20  # of text in a segment, a single longer document apart
+SEGMENT_BYTES = 4 << 20  # of text in a segment, a single longer document apart
 BLOCK_WORDS = 200_000  # words of test phrases searched for at once, which bounds what tasks are sent
 SEGMENT = "segment string, ids binary, known binary, first binary, terms binary, edges binary, places binary"
 
