@@ -168,11 +168,18 @@ def select_by_code(spark, sf):
     return rounded(wide(spark, sf).filter(F.col("iso_code") == x.normalise_code(" s000000007")).select("iso_code", "year", "co2"))
 
 
-@query("coerce_text_numbers", """
-SELECT o_orderkey, TRY_CAST(trim(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority WHEN o_orderstatus = 'F' THEN '  ' || o_totalprice::VARCHAR ELSE '*******' END) AS DOUBLE) AS number FROM orders""")
+DIRTY = ["NaN", "NA", "N/A", "1d", "2f", "", " 7 ", "1e3", "-.5", "+4.", "0x10", "1,000", "inf"]
+DIRTY_SQL = "[" + ", ".join(f"'{d}'" for d in DIRTY) + "]"
+
+
+@query("coerce_text_numbers", f"""
+SELECT o_orderkey, TRY_CAST(CASE WHEN regexp_full_match(t, '[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|[iI]nf(inity)?)') THEN t END AS DOUBLE) AS number
+FROM (SELECT o_orderkey, trim(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority WHEN o_orderstatus = 'F' THEN '  ' || o_totalprice::VARCHAR
+  ELSE {DIRTY_SQL}[1 + o_orderkey % {len(DIRTY)}] END) AS t FROM orders)""")
 def coerce_text_numbers(spark, sf):
+    dirty = F.get(F.array(*map(F.lit, DIRTY)), (F.col("o_orderkey") % len(DIRTY)).cast("int"))
     text = (F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority"))
-            .when(F.col("o_orderstatus") == "F", F.concat(F.lit("  "), F.col("o_totalprice").cast("string"))).otherwise("*******"))
+            .when(F.col("o_orderstatus") == "F", F.concat(F.lit("  "), F.col("o_totalprice").cast("string"))).otherwise(dirty))
     return table(spark, sf, "orders").select("o_orderkey", x.try_number(text).alias("number"))
 
 

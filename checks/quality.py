@@ -85,6 +85,22 @@ def quality_numeric_columns(spark, sf):
     return q.run_suite(_orders_text(spark, sf), "orders", [q.numeric_columns(["code", "o_totalprice", "absent"])])
 
 
+@query("quality_dirty_text", """
+WITH o AS (SELECT CASE WHEN o_orderstatus = 'P' THEN 'N/A' WHEN o_orderkey % 7 = 0 THEN 'NaN' WHEN o_orderkey % 11 = 0 THEN '1d' ELSE floor(o_totalprice)::BIGINT::VARCHAR END AS t,
+  CASE WHEN o_orderstatus <> 'P' AND o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0 THEN floor(o_totalprice) END AS v FROM orders),
+ b AS (SELECT q1 - 3 * (q3 - q1) AS lo, q3 + 3 * (q3 - q1) AS hi FROM (SELECT quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM o)),
+ s AS (SELECT count(*) FILTER (WHERE v < lo OR v > hi) AS out, CAST(count(v) AS DOUBLE) AS n, any_value(lo) AS lo, any_value(hi) AS hi FROM o, b)
+SELECT 'orders' AS dataset, 'outlier_iqr[price]' AS "check", out / n < 0.05 AS passed, CASE WHEN out / n < 0.05 THEN 'INFO' ELSE 'WARNING' END AS severity,
+  printf('%d outliers (%.1f%%) outside [%.2f, %.2f]', out, out / n * 100, lo, hi) AS details FROM s WHERE n >= 10
+UNION ALL SELECT 'orders', 'type_check[price]', n = 0, 'WARNING', printf('%d non-numeric values found', n) FROM (SELECT count(*) FILTER (WHERE v IS NULL) AS n FROM o)
+UNION ALL SELECT 'orders', 'range_check[price]', n = 0, 'WARNING', printf('%d values outside [0, None]', n) FROM (SELECT count(*) FILTER (WHERE v < 0) AS n FROM o)""")
+def quality_dirty_text(spark, sf):
+    """A text column with missing markers and numbers that are none: reported, never raised."""
+    price = (F.when(F.col("o_orderstatus") == "P", "N/A").when(F.col("o_orderkey") % 7 == 0, "NaN")
+             .when(F.col("o_orderkey") % 11 == 0, "1d").otherwise(F.floor("o_totalprice").cast("string")))
+    return q.run_suite(table(spark, sf, "orders").select(price.alias("price")), "orders", [q.outliers_iqr("price"), q.numeric_columns(["price"]), q.value_range("price", 0)])
+
+
 def _orders_report(spark, sf):
     return q.run_suite(_orders_text(spark, sf), "orders", [
         q.row_count(1000), q.schema(["o_orderkey", "o_color"]), q.null_rates(["final_price"], 0.3),

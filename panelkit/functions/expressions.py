@@ -9,9 +9,17 @@ from pyspark.sql import Column, functions as F
 INF = float("inf")
 
 
+NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)$"
+
+
 def try_number(c: Column) -> Column:
-    """Text to double; padding is dropped and anything unreadable becomes NULL."""
-    return F.trim(c.cast("string")).try_cast("double")
+    """Text to double; padding is dropped and anything unreadable becomes NULL.
+
+    Missing markers (``NaN``, ``NA``, ``N/A``) are NULL too, and so are numbers with a type suffix such
+    as ``1d``, which a plain cast takes.
+    """
+    text = F.trim(c.cast("string"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def finite(c: Column) -> Column:

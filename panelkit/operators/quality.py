@@ -154,7 +154,7 @@ def outliers_iqr(column: str, multiplier=3.0):
         if column not in df.columns:
             return
         v = F.col("v")
-        known = df.select(F.col(f"`{column}`").cast("double").alias("v")).filter("v is not null")
+        known = df.select(try_number(F.col(f"`{column}`")).alias("v")).filter("v is not null")
         q = quantile_columns(known, ["v"], {"q1": 0.25, "q3": 0.75}).first()
         if q is None or q["q1_v"] is None:
             return

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from panelkit.functions.expressions import try_number
 from panelkit.operators.relational import attach
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """Numbers as they are; text that is no number is missing."""
+    numeric = isinstance(df.schema[column].dataType, T.NumericType)
+    return F.col(f"`{column}`").cast("double") if numeric else try_number(F.col(f"`{column}`"))
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -27,7 +34,7 @@ def exact_quantiles(
     by = list(by)
     group = [*by, "metric"]
     long = (
-        df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+        df.select(*by, *[_number(df, c).alias(c) for c in columns])
         .unpivot(by, list(columns), "metric", "value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )

@@ -257,7 +257,7 @@ def test_too_few_entities_to_cluster(fact):
 
 def test_forecasts(fact):
     rows = forecast.forecasts(fact, trees=3).collect()
-    assert len(rows) == 60 * 10 and {r.model_used for r in rows} == {"Prophet+LSTM+ARIMA+NeuralProphet"}
+    assert len(rows) == 60 * 10 and {r.model_used for r in rows} == {"trend+pooled trees+AR(1) on differences+pooled linear"}
     for r in rows:
         parts = [r.prophet_co2, r.lstm_co2, r.arima_co2, r.np_co2]
         assert min(parts) - 1e-9 <= r.forecast_co2 <= max(parts) + 1e-9
@@ -271,7 +271,7 @@ def test_short_series_use_fewer_models(spark):
     rows += [("C", "C", 2000 + i, 20.0 + (i * 7) % 5, 1.0) for i in range(20)]
     df = spark.createDataFrame([r + (0.1 * (r[2] - 2000),) for r in rows], "iso_code string, country string, year int, co2 double, co2_per_capita double, temperature_anomaly double")
     used = {r.iso_code: r.model_used for r in forecast.forecasts(df, trees=2).select("iso_code", "model_used").distinct().collect()}
-    assert used == {"A": "Prophet+ARIMA", "C": "Prophet+LSTM+ARIMA+NeuralProphet"}
+    assert used == {"A": "trend+AR(1) on differences", "C": "trend+pooled trees+AR(1) on differences+pooled linear"}
 
 
 def test_trend_of_a_straight_line(spark):
