@@ -144,6 +144,26 @@ def carried_of(rows: pa.Table, carry: Sequence[str]) -> dict[str, pa.Array]:
     return dict(zip(carry, flat.flatten())) if carry else {}
 
 
+# Sums of long arrays over tasks: in slices, so that neither a task nor the driver holds many arrays.
+
+SLICES = 1024
+
+
+def in_slices(total: np.ndarray) -> pa.RecordBatch:
+    parts = np.array_split(total, SLICES)
+    return pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["slice", "part"])
+
+
+def add_slices(parts: DataFrame, kind: np.dtype, size: int) -> np.ndarray:
+    """The sum of the arrays that tasks gave as ``in_slices`` (slice int, part binary); only the sum reaches the driver."""
+    def add(rows):
+        total = sum(np.frombuffer(p, kind) for p in rows["part"].to_pylist())
+        return pa.table({"slice": rows["slice"][:1], "part": pa.array([total.tobytes()], pa.binary())})
+
+    rows = parts.groupBy("slice").applyInArrow(add, "slice int, part binary").collect()
+    return np.concatenate([np.frombuffer(r["part"], kind) for r in sorted(rows, key=lambda r: r["slice"])]) if rows else np.zeros(size, kind)
+
+
 # Which hashes occur at least twice. The fingerprint has 32 bits beside the bucket's own, so a few
 # hashes are called shared that are not; callers verify what they keep.
 

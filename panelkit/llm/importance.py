@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from panelkit.llm import exchange
 from panelkit.llm.registry import query, table
 from panelkit.llm.words import LOWER, P1, P2, PIECE, _hash, _spans, mix, text_bytes
 from panelkit.session import store
@@ -23,7 +24,6 @@ from panelkit.session import store
 BUCKETS = 1 << 16
 LABELLED = 20_000  # labelled rows that the models and the limit are fitted on, drawn by hash
 SMOOTHING = 10.0  # occurrences by which a bucket's ratio is drawn to 1
-MIXED_IN = 64  # partial sums that the driver sees
 COLLECTED = 10_000  # keys that the driver sorts at the end of a selection
 
 _byte = np.arange(256)
@@ -107,14 +107,10 @@ def fit(docs: DataFrame, sample: DataFrame, id_col: str = "doc_id", text_col: st
                 counts += np.bincount(folds[doc] * BUCKETS + bucket, minlength=3 * BUCKETS).reshape(3, -1)
                 seen = True
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], ["counts"])
+            yield exchange.in_slices(counts.ravel())
 
-    def add(rows):
-        return pa.table({"counts": pa.array([sum(np.frombuffer(c) for c in rows["counts"].to_pylist()).tobytes()], pa.binary())})
-
-    parts = own.mapInArrow(count, "counts binary").withColumn("to", F.pmod(F.spark_partition_id(), F.lit(MIXED_IN)))
-    sums = [np.frombuffer(r["counts"]) for r in parts.groupBy("to").applyInArrow(add, "counts binary").collect()]
-    even, odd, other = (sum(sums) if sums else np.zeros(3 * BUCKETS)).reshape(3, -1)
+    counts = exchange.add_slices(own.mapInArrow(count, "slice int, part binary"), np.dtype(np.float64), 3 * BUCKETS)
+    even, odd, other = counts.reshape(3, -1)
     raw = even + odd + other
     return ratio_of(raw, even + odd), ratio_of(raw, odd), ratio_of(raw, even)
 

@@ -23,7 +23,6 @@ BLOCK = 10 << 20  # larger blocks than elsewhere, so that long documents have co
 ROUNDS = 3
 SHARE = 1 / 48  # of the training documents that a round draws ...
 LEAST_TOKENS = 2_000_000  # ... but about so many tokens at least, if there are as many
-MIXED_IN = 64  # sums of weights that the driver sees in a round
 ENTRY = [np.dtype(np.uint64), np.dtype(np.uint32), np.dtype(np.uint8)]
 STATS = "class int, tokens long, words long, hash long, count long"
 
@@ -147,17 +146,12 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int, id_col: str, tex
                     trainer.train(tokens)
                     n += len(tokens)
             if n:
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([(net.flat(trainer.weights) * n).astype(np.float64).tobytes()], pa.binary())], ["n", "weights"])
-
-        def add(rows):
-            total = sum((np.frombuffer(w, np.float64) for w in rows["weights"].to_pylist()), np.zeros(1))
-            return pa.table({"n": pa.array([sum(rows["n"].to_pylist())], pa.int64()), "weights": pa.array([total.tobytes()], pa.binary())})
+                yield exchange.in_slices(np.append(net.flat(trainer.weights).astype(np.float64) * n, n))
 
         drawn = own.filter(~held_out(F.col("id")) & (draw >= turn * share) & (draw < (turn + 1) * share))
-        parts = drawn.select("text").mapInArrow(learn, "n long, weights binary")
-        sums = parts.withColumn("to", F.pmod(F.spark_partition_id(), F.lit(MIXED_IN))).groupBy("to").applyInArrow(add, "n long, weights binary").collect()
-        if sums:
-            weights = net.unflat(sum(np.frombuffer(s["weights"], np.float64) for s in sums) / sum(s["n"] for s in sums))
+        total = exchange.add_slices(drawn.select("text").mapInArrow(learn, "slice int, part binary"), np.dtype(np.float64), 1)
+        if total[-1]:
+            weights = net.unflat(total[:-1] / total[-1])
     return weights
 
 

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from panelkit.llm import exchange
 from panelkit.llm.registry import query, table
 from panelkit.llm.words import PLAIN_WORDS, words_of
 from panelkit.session import store
@@ -25,7 +26,6 @@ K1, B = 1.2, 0.75
 SHARD_BYTES = 8 << 20  # of text in a shard, a single longer document apart
 BLOCK_DOCS = 64
 BLOCK_TERMS = 1_000_000  # (query, term) pairs searched for at once, which bounds what tasks are sent
-MIXED_IN = 64
 DIGITS = 6  # of scores; ties go to the smaller id
 SHARD = "ids binary, known binary, lengths binary, terms binary, edges binary, docs binary, counts binary"
 
@@ -208,13 +208,9 @@ def frequencies(index: DataFrame, terms: np.ndarray) -> np.ndarray:
                 spot = np.minimum(np.searchsorted(sent.value, own), max(len(sent.value) - 1, 0))
                 there = sent.value[spot] == own if len(sent.value) else np.zeros(len(own), bool)
                 total[spot[there]] += np.diff(edges)[there]
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["df"])
+        yield exchange.in_slices(total)
 
-    def add(rows):
-        return pa.table({"df": pa.array([sum(np.frombuffer(d, np.int64) for d in rows["df"].to_pylist()).tobytes()], pa.binary())})
-
-    parts = index.select("terms", "edges").mapInArrow(count, "df binary").withColumn("to", F.pmod(F.spark_partition_id(), F.lit(MIXED_IN)))
-    return sum((np.frombuffer(r["df"], np.int64) for r in parts.groupBy("to").applyInArrow(add, "df binary").collect()), np.zeros(len(terms), np.int64))
+    return exchange.add_slices(index.select("terms", "edges").mapInArrow(count, "slice int, part binary"), np.dtype(np.int64), len(terms))
 
 
 def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
