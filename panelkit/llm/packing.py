@@ -11,6 +11,8 @@ dealt into new, fewer groups, until one group is left.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator, Sequence
 from math import ceil
@@ -27,36 +29,65 @@ END = 1  # id after each document
 GROUP = 8192  # pieces packed together
 ISLANDS, ROUNDS, GENERATIONS, POPULATION = 4, 3, 12, 4
 WELL_FILLED = 0.99
-CACHED_WORDS = 200_000  # ids of so many words are kept in a task
+CACHED_WORDS = 500_000  # ids of so many words are kept in a task
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 # --- pieces -----------------------------------------------------------------------------------
 
 class WordIds:
-    """Ids of a text, word by word. No token spans a blank, so words can be looked up one by one."""
+    """Ids of a text, word by word. No token spans a blank, so words can be looked up one by one.
+
+    Words of ASCII and Latin letters are cut where the tokenizer's own pattern cuts them, and its model
+    is asked once for each part; any other word, and one that may hold a special token, goes through
+    the whole tokenizer.
+    """
+
+    PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+    PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # How the byte-level step shows each character.
+        self.shown = {c: shown.pre_tokenize_str(chr(c))[0][0] for c in [*range(0x21, 0x7F), *range(0xC0, 0x100)]}
         self.known: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [t.encode().split() for t in texts]
-        missing = list({w for words in split for w in words} - self.known.keys())
-        if len(self.known) + len(missing) > CACHED_WORDS:
-            self.known = {}
-            missing = list({w for words in split for w in words})
-        for low in range(0, len(missing), 4096):
-            part = missing[low:low + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
-        look = self.known.__getitem__
-        for words in split:
-            yield b"".join(map(look, words))
+        self.parts: dict[str, bytes] = {}
+
+    def part(self, text: str) -> bytes:
+        found = self.parts.get(text)
+        if found is None:
+            found = self.parts[text] = self.packed([t.id for t in self.model.tokenize(text.translate(self.shown))])
+        return found
+
+    @staticmethod
+    def packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def word(self, word: bytes) -> bytes:
+        found = self.known.get(word)
+        if found is None:
+            text = word.decode()
+            if "<" not in text and self.PLAIN.fullmatch(text):
+                found = b"".join(map(self.part, self.PARTS.findall(text.lower())))
+            else:
+                found = self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            self.known[word] = found
+        return found
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian 32-bit ids."""
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.parts = {}, {}
+        words = text.encode().split()
+        ids = list(map(self.known.get, words))
+        if None in ids:
+            ids = [self.word(w) if x is None else x for w, x in zip(words, ids)]
+        return b"".join(ids)
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
@@ -67,8 +98,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_c
             for low in range(0, len(batch), 256):
                 part = batch.slice(low, 256)
                 source, number, start, length, crc = [], [], [], [], []
-                for i, ids in enumerate(words.encode(part["text"].to_pylist())):
-                    ids += end
+                for i, text in enumerate(part["text"].to_pylist()):
+                    ids = words.encode(text) + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         piece = ids[at:at + 4 * capacity]
                         source.append(i)
