@@ -4,16 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from checks.analytics import scored, with_scores
-from checks.panel import stored_fact, table, wide, with_fact
-from checks.registry import query, rounded
+from checks.analytics import CLOSED, TEMP, with_scores
+from checks.panel import stored_fact, wide, with_fact, with_sources
+from checks.registry import query, r4, rounded
 from panelkit import config
-from panelkit.operators import cluster, density, explain, forecast, isolation_forest as forest, risk, risk_model, silhouette
+from panelkit.operators import cluster, density, explain, forecast, isolation_forest as forest, risk_model, silhouette
 from panelkit.plans import marts
 from panelkit.session import store
 
 FEATURES = config.CLUSTER_FEATURES
-TREES = 20  # of the 200 the model takes by default: boosting is sequential
 
 
 PROFILES = f"""profiles AS (
@@ -111,77 +110,182 @@ def cluster_dbscan(spark, sf):
     return density.dbscan(points(spark, sf), Z, EPS)
 
 
-@query("cluster_kmeans")
+@query("cluster_kmeans", with_fact(f"SELECT iso_code, {', '.join(f'round({z}, 4) AS {z}' for z in Z)}, 0.0::DOUBLE AS further_than_nearest FROM points", "month", PROFILES))
 def cluster_kmeans(spark, sf):
-    return cluster.kmeans(points(spark, sf), Z).select("iso_code", "cluster_id")
+    """Every point, and by how much its own centroid is further away than the nearest."""
+    labelled = store(cluster.kmeans(points(spark, sf), Z), "kmeans")
+    centre = labelled.groupBy("cluster_id").agg(*[F.avg(z).alias(f"c_{z}") for z in Z])
+    centres = centre.agg(F.collect_list(F.struct(*centre.columns)).alias("centres"))  # one row for each of k clusters
+    squared = lambda c: sum((F.col(z) - c[f"c_{z}"]) * (F.col(z) - c[f"c_{z}"]) for z in Z)
+    nearest = F.array_min(F.transform("centres", squared))
+    rows = labelled.join(F.broadcast(centre), "cluster_id").withColumn("centres", centres.scalar())
+    own = sum((F.col(z) - F.col(f"c_{z}")) * (F.col(z) - F.col(f"c_{z}")) for z in Z)
+    return rounded(rows.select("iso_code", *Z, (F.sqrt(own) - F.sqrt(nearest)).alias("further_than_nearest")), 4)
+
+
+def _sweep_sql() -> str:
+    """DBSCAN and its silhouette without noise for every eps of the sweep."""
+    squares = " + ".join(f"(p.{z} - q.{z}) * (p.{z} - q.{z})" for z in Z)
+    parts = [f"pair AS (SELECT p.iso_code AS a, q.iso_code AS b, {squares} AS d2 FROM points p, points q)"]
+    for k, eps in enumerate(config.DBSCAN_EPS):
+        parts.append(f"""near{k} AS (SELECT a, b FROM pair WHERE d2 <= {eps} * {eps}),
+core{k} AS (SELECT a FROM near{k} GROUP BY a HAVING count(*) >= 5),
+link{k} AS (SELECT a, b FROM near{k} WHERE a IN (SELECT a FROM core{k}) AND b IN (SELECT a FROM core{k})),
+reach{k} AS (SELECT * FROM (WITH RECURSIVE r(a, b) AS (SELECT a, b FROM link{k} UNION SELECT r.a, l.b FROM r JOIN link{k} l ON r.b = l.a) SELECT a, min(b) AS root FROM r GROUP BY a)),
+number{k} AS (SELECT a, dense_rank() OVER (ORDER BY root) - 1 AS c FROM reach{k}),
+label{k} AS (SELECT a, c FROM number{k} UNION ALL SELECT n.a, min(m.c) FROM near{k} n JOIN number{k} m ON n.b = m.a WHERE n.a NOT IN (SELECT a FROM core{k}) GROUP BY n.a),
+mean{k} AS (SELECT pair.a, x.c AS own, y.c AS other, sum(sqrt(d2)) AS total, count(*) AS n FROM pair JOIN label{k} x ON pair.a = x.a JOIN label{k} y ON pair.b = y.a GROUP BY ALL),
+sil{k} AS (SELECT a, own, max(CASE WHEN own = other THEN CASE WHEN n > 1 THEN total / (n - 1) END END) AS inner_mean, min(total / n) FILTER (WHERE own <> other) AS outer_mean FROM mean{k} GROUP BY a, own),
+score{k} AS (SELECT avg(CASE WHEN inner_mean IS NULL THEN 0 WHEN greatest(inner_mean, outer_mean) > 0 THEN (outer_mean - inner_mean) / greatest(inner_mean, outer_mean) ELSE 0 END) AS s, count(DISTINCT own) AS k, count(*) AS n FROM sil{k})""")
+    rows = " UNION ALL ".join(f"SELECT {eps}::DOUBLE AS eps, '{eps}' AS name, s, k FROM score{k} WHERE k >= 2 AND n > 10" for k, eps in enumerate(config.DBSCAN_EPS))
+    return ",\n".join(parts) + f", best AS (SELECT * FROM ({rows}) ORDER BY s DESC, eps LIMIT 1)"
+
+
+@query("cluster_comparison", with_fact("""
+SELECT 'DBSCAN (dbscan_eps' || name || ')' AS algorithm, round(s, 4) AS silhouette_score, CAST(k AS INTEGER) AS n_clusters FROM best
+UNION ALL SELECT 'K-Means (k=3)', NULL, CAST(least(3, count(*)) AS INTEGER) FROM points""", "month", f"{PROFILES}, {_sweep_sql()}"))
+def cluster_comparison(spark, sf):
+    """The sweep's eps, silhouette and clusters in full; the fitted silhouette of K-Means has no SQL form."""
+    rows = cluster.cluster_entities(stored_fact(spark, sf, "month"))[1]
+    score = F.when(F.col("algorithm").startswith("DBSCAN"), F.round("silhouette_score", 4)).alias("silhouette_score")
+    return rows.select("algorithm", score, "n_clusters")
 
 
-@query("cluster_comparison")
-def cluster_comparison(spark, sf):
-    return cluster.cluster_entities(stored_fact(spark, sf, "month"))[1]
+# Without ties the flagged rows are those whose rank lies below the interpolated quantile's.
+FLAGGED = "CAST(ceil(0.05 * (count(*) OVER () - 1)) AS BIGINT)"
 
 
-@query("anomaly_isolation_forest")
+@query("anomaly_isolation_forest", with_fact(f"SELECT iso_code, year, {FLAGGED} AS flagged FROM fact WHERE co2_per_capita IS NOT NULL", "month"))
 def anomaly_isolation_forest(spark, sf):
-    return forest.isolation_forest(stored_fact(spark, sf, "month"), trees=100).select("iso_code", "year", "anomaly_score", "is_anomaly")
+    out = store(forest.isolation_forest(stored_fact(spark, sf, "month")), "flagged")
+    flagged = out.agg(F.sum(F.col("is_anomaly").cast("long"))).scalar()
+    return out.select("iso_code", "year", flagged.alias("flagged"))
 
 
-@query("mart_anomalies")
+@query("mart_anomalies", with_fact(f"SELECT DISTINCT {FLAGGED} AS count FROM fact WHERE co2_per_capita IS NOT NULL", "month"))
 def mart_anomalies(spark, sf):
-    flagged = forest.isolation_forest(stored_fact(spark, sf), trees=50)
+    flagged = forest.isolation_forest(stored_fact(spark, sf, "month"))
     return marts.anomaly_count(flagged.filter("is_anomaly = 1"))
 
 
-@query("risk_model_scores")
+@query("mart_anomaly_rows", with_fact(f"""
+SELECT iso_code, year, round(co2_per_capita, 4) AS co2_per_capita, n AS count FROM (SELECT *, {FLAGGED} AS n FROM fact WHERE co2_per_capita IS NOT NULL) WHERE n < 0
+UNION ALL SELECT 'all', NULL, NULL, any_value(n) FROM (SELECT {FLAGGED} AS n FROM fact WHERE co2_per_capita IS NOT NULL)""", "month"))
+def mart_anomaly_rows(spark, sf):
+    """The rows of the anomaly response have to be rows of the fact; those that are not are returned."""
+    f = stored_fact(spark, sf, "month")
+    found = store(forest.isolation_forest(f).filter("is_anomaly = 1").select("iso_code", "year", F.round("co2_per_capita", 4).alias("co2_per_capita")), "anomalies")
+    known = f.select("iso_code", "year", F.round("co2_per_capita", 4).alias("co2_per_capita"))
+    strange = found.join(known, ["iso_code", "year", "co2_per_capita"], "left_anti").withColumn("count", F.lit(0).cast("long"))
+    total = marts.anomaly_count(found).select(F.lit("all").alias("iso_code"), F.lit(None).cast("int").alias("year"), F.lit(None).cast("double").alias("co2_per_capita"), "count")
+    return strange.unionByName(total)
+
+
+@query("risk_model_scores", with_scores("SELECT iso_code, year, round(risk_score_heuristic, 4) AS risk_score_heuristic, 0.0::DOUBLE AS off_blend, 0.0::DOUBLE AS outside FROM scored", "month"))
 def risk_model_scores(spark, sf):
-    rows, _, _, _ = risk_model.score_all(stored_fact(spark, sf, "month"), trees=TREES)
-    return risk.risk_scores(rows)
+    """Every row's heuristic score, and how far its score is from 0.6 model + 0.4 heuristic and from 0 to 100."""
+    rows, _, _, _ = risk_model.score_all(stored_fact(spark, sf, "month"))
+    blend = F.round(0.6 * F.col("risk_score_ml") + 0.4 * F.col("risk_score_heuristic"), 1)
+    outside = F.greatest(-F.col("risk_score_ml"), F.col("risk_score_ml") - 100, F.lit(0.0))
+    return rounded(rows.select("iso_code", "year", "risk_score_heuristic", F.abs(F.col("risk_score") - blend).alias("off_blend"), outside.alias("outside")))
+
 
+KNOWN_ROWS = " AND ".join(f"{c} IS NOT NULL" for c in [*config.RISK_FEATURES, config.RISK_TARGET])
 
-@query("risk_model_fit")
+
+@query("risk_model_fit", with_fact(f"""
+SELECT 200 AS trees, 5 AS depth, 0.1::DOUBLE AS rate, '{",".join(config.RISK_FEATURES)}' AS features, CAST(count(*) AS INTEGER) AS train_rows, count(*) > 0 AS better_than_mean
+FROM fact WHERE {KNOWN_ROWS}""", "month"))
 def risk_model_fit(spark, sf):
-    return risk_model.train(stored_fact(spark, sf, "month"), trees=TREES)[1]
+    fit = risk_model.train(stored_fact(spark, sf, "month"))[1]
+    return fit.select("trees", "depth", F.col("rate").cast("double").alias("rate"), "features", F.col("train_rows").cast("int").alias("train_rows"), F.col("train_r2").between(0.5, 1.0).alias("better_than_mean"))
 
 
 def _model(spark, sf):
-    f = stored_fact(spark, sf)
-    model, _, features = risk_model.train(f, trees=TREES, min_rows=20)
+    f = stored_fact(spark, sf, "month")
+    model, _, features = risk_model.train(f)
     latest = store(f.filter(F.col("year") == f.agg(F.max("year")).first()[0]), "latest")
     return latest, model, features
 
 
-@query("explain_shapley")
+LATEST = "now AS (SELECT * FROM fact WHERE year = (SELECT max(year) FROM fact))"
+
+
+@query("explain_shapley", with_fact("SELECT iso_code, country, 0.0::DOUBLE AS off_prediction FROM now", "month", LATEST))
 def explain_shapley(spark, sf):
-    return explain.shapley_values(*_model(spark, sf))
+    """Attributions and base value add up to the model's prediction."""
+    latest, model, features = _model(spark, sf)
+    shap = explain.shapley_values(latest, model, features)
+    told = model.transform(risk_model.feature_vectors(latest, features)).select("iso_code", "prediction")
+    total = sum((F.col(f"shap_{f}") for f in features), F.col("base_value"))
+    return rounded(shap.join(told, "iso_code").select("iso_code", "country", F.abs(total - F.col("prediction")).alias("off_prediction")), 3)
 
 
-@query("explain_importance")
+@query("explain_importance", with_fact(" UNION ALL ".join(f"SELECT '{f}' AS feature, round(avg(abs({f})), 4) AS importance FROM now" for f in ("coal_share", "gas_share", "renewables_share")), "month", LATEST))
 def explain_importance(spark, sf):
-    latest, model, features = _model(spark, sf)
-    return explain.feature_importance(explain.shapley_values(latest, model, features), features)
+    """Over given attributions, here the shares of the last period."""
+    names = ["coal_share", "gas_share", "renewables_share"]
+    f = stored_fact(spark, sf, "month")
+    latest = f.filter(F.col("year") == f.agg(F.max("year")).first()[0])
+    return rounded(explain.feature_importance(latest.select(*[F.col(n).alias(f"shap_{n}") for n in names]), names))
 
 
-@query("mart_attributions")
+@query("mart_attributions", with_fact("SELECT iso_code, f AS feature, 0.0::DOUBLE AS off_table FROM now, (VALUES " + ", ".join(f"('{f}')" for f in config.RISK_FEATURES) + ") t(f) WHERE iso_code = (SELECT min(iso_code) FROM now)", "month", LATEST))
 def mart_attributions(spark, sf):
-    return marts.attributions_of(explain.shapley_values(*_model(spark, sf)), "s000000003")
+    """One entity's attributions, against the table they come from."""
+    latest, model, features = _model(spark, sf)
+    shap = store(explain.shapley_values(latest, model, features), "shap")
+    code = shap.agg(F.min("iso_code")).first()[0]
+    own = shap.filter(F.col("iso_code") == code).select(F.explode(F.map_from_arrays(F.array(*map(F.lit, features)), F.array(*[F.col(f"shap_{f}") for f in features]))).alias("feature", "own"))
+    return rounded(marts.attributions_of(shap, code.lower()).join(own, "feature").select("iso_code", "feature", F.abs(F.col("value") - F.round("own", 4)).alias("off_table")))
+
+
+def _rules_sql() -> str:
+    clean = ", ".join(f"coalesce(CASE WHEN isinf({f}) THEN NULL ELSE {f} END, 0) AS {f}" for f in config.RISK_FEATURES)
+    cuts = ", ".join(f"quantile_cont({f}, 0.25) AS q1_{f}, quantile_cont({f}, 0.5) AS q2_{f}, quantile_cont({f}, 0.75) AS q3_{f}" for f in config.RISK_FEATURES)
+    rules = " UNION ALL ".join(f"""SELECT iso_code, country, CASE WHEN {f} <= q1_{f} THEN printf('{f} <= %.2f', q1_{f}) WHEN {f} <= q2_{f} THEN printf('%.2f < {f} <= %.2f', q1_{f}, q2_{f})
+ WHEN {f} <= q3_{f} THEN printf('%.2f < {f} <= %.2f', q2_{f}, q3_{f}) ELSE printf('{f} > %.2f', q3_{f}) END AS feature_rule FROM top, cuts""" for f in config.RISK_FEATURES)
+    return f"""clean AS (SELECT iso_code, country, vulnerability_score, {clean} FROM now), cuts AS (SELECT {cuts} FROM clean),
+top AS (SELECT * FROM clean ORDER BY vulnerability_score DESC NULLS LAST, iso_code LIMIT 15), rules AS ({rules})"""
 
 
-@query("explain_local_rules")
+@query("explain_local_rules", with_fact("SELECT iso_code, country, feature_rule FROM rules", "month", f"{LATEST}, {_rules_sql()}"))
 def explain_local_rules(spark, sf):
     latest, model, features = _model(spark, sf)
-    return explain.local_rules_for_top(latest, model, features, samples=1000)
+    out = explain.local_rules_for_top(latest, model, features)
+    return out.filter(F.col("lime_weight").isNotNull() & ~F.isnan("lime_weight")).select("iso_code", "country", "feature_rule")
 
 
-@query("forecast_pooled_trees")
-def forecast_pooled_trees(spark, sf):
-    return forecast.pooled_tree_forecast(wide(spark, sf, "month"), trees=10)
+LONG_SERIES = """series AS (SELECT iso_code, max(year) AS last FROM wide WHERE co2 IS NOT NULL GROUP BY iso_code HAVING count(*) >= 15 AND stddev_pop(co2) > 0),
+ahead AS (SELECT iso_code, CAST(last + h AS INTEGER) AS year FROM series, range(1, 11) t(h))"""
 
 
-@query("forecast_pooled_linear")
-def forecast_pooled_linear(spark, sf):
-    return forecast.pooled_linear_forecast(wide(spark, sf, "month"))
+@query("forecast_pooled_trees", with_sources("SELECT iso_code, year, 0.0::DOUBLE AS out_of_order FROM ahead", "month", LONG_SERIES))
+def forecast_pooled_trees(spark, sf):
+    """Entities and years ahead; bounds never negative and around the value."""
+    out = forecast.pooled_tree_forecast(wide(spark, sf, "month"))
+    wrong = F.greatest(F.col("lstm_lower") - F.col("lstm_co2"), F.col("lstm_co2") - F.col("lstm_upper"), -F.col("lstm_lower"), F.lit(0.0))
+    return rounded(out.select("iso_code", "year", wrong.alias("out_of_order")))
 
 
-@query("forecast_all_models")
+@query("forecast_pooled_linear", with_sources("SELECT iso_code, year, 0.0::DOUBLE AS off_band FROM ahead", "month", LONG_SERIES))
+def forecast_pooled_linear(spark, sf):
+    """Entities and years ahead; the band is five percent either way."""
+    out = forecast.pooled_linear_forecast(wide(spark, sf, "month"))
+    off = F.abs(F.col("np_lower") - 0.95 * F.col("np_co2")) + F.abs(F.col("np_upper") - 1.05 * F.col("np_co2"))
+    return rounded(out.select("iso_code", "year", off.alias("off_band")))
+
+
+@query("forecast_all_models", with_fact(f"""
+SELECT e.iso_code, e.year, {r4('prophet_co2', 'arima_co2')}, tmp_co2 IS NOT NULL AS with_temperature, last_historical_year, 0.0::DOUBLE AS off_mean,
+ concat_ws('+', CASE WHEN prophet_co2 IS NOT NULL THEN 'trend' END, CASE WHEN a.iso_code IS NOT NULL THEN 'pooled trees' END,
+  CASE WHEN arima_co2 IS NOT NULL THEN 'AR(1) on differences' END, CASE WHEN a.iso_code IS NOT NULL THEN 'pooled linear' END) AS model_used
+FROM ens e LEFT JOIN ahead a ON e.iso_code = a.iso_code AND e.year = a.year LEFT JOIN tmp ON tmp.year = e.year
+LEFT JOIN (SELECT iso_code, max(year) AS last_historical_year FROM wide GROUP BY iso_code) h ON h.iso_code = e.iso_code""", "month", f"{CLOSED}, {TEMP}, {LONG_SERIES}"))
 def forecast_all_models(spark, sf):
-    return forecast.forecasts(stored_fact(spark, sf, "month"), trees=5)
+    """The ensemble of four: closed forms, labels and context exactly, and the weighted mean from its parts."""
+    out = store(forecast.forecasts(stored_fact(spark, sf, "month")), "forecasts")
+    weight = {m: F.when(F.col(f"{m}_co2").isNotNull(), F.lit(w)).otherwise(F.lit(0.0)) for m, w in config.ENSEMBLE_WEIGHTS.items()}
+    mean = sum(F.coalesce(F.col(f"{m}_co2"), F.lit(0.0)) * w for m, w in weight.items()) / sum(weight.values())
+    off = F.abs(F.col("forecast_co2") - F.greatest(mean, F.lit(0.0)))
+    return rounded(out.select("iso_code", "year", "prophet_co2", "arima_co2", F.col("forecast_temp_anomaly").isNotNull().alias("with_temperature"), "last_historical_year", off.alias("off_mean"), "model_used"))

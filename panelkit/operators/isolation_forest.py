@@ -7,7 +7,7 @@ that scores.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from math import ceil, log2
 
 import numpy as np
@@ -149,14 +149,14 @@ def isolation_forest(
     shared = df.sparkSession.sparkContext.broadcast([
         tuple(np.array(col, dtype=t) for col, t in zip(zip(*nodes), (int, float, int, int, float))) for nodes in forest])
     norm = float(average_depth(size)) or 1.0
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop(*z).schema.fields)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            depth = _path_lengths(pdf[z].to_numpy(dtype=float), shared.value)
-            yield pdf.drop(columns=z).assign(raw_score=-np.power(2.0, -depth / norm))
+    @F.pandas_udf("double")
+    def score(*values: pd.Series) -> pd.Series:
+        depth = _path_lengths(np.column_stack([v.to_numpy(dtype=float) for v in values]), shared.value)
+        return pd.Series(-np.power(2.0, -depth / norm))
 
-    scored = store(rows.mapInPandas(score, f"{schema}, raw_score double"), "scored")
+    # Only the scaled features go to Python; all other columns stay where they are.
+    scored = store(rows.withColumn("raw_score", score(*z)).drop(*z), "scored")
     offset = exact_quantiles(scored, ["raw_score"], [contamination]).first()["value"]
     out = scored.withColumn("anomaly_score", F.col("raw_score") - F.lit(offset)).drop("raw_score")
     return out.withColumn("is_anomaly", (F.col("anomaly_score") < 0).cast("int"))

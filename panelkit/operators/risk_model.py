@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -12,10 +13,12 @@ from pyspark.sql import DataFrame, functions as F
 from panelkit import config
 from panelkit.functions import expressions as x
 from panelkit.operators.risk import blended_score, bounds, heuristic_score
-from panelkit.session import spread, store
+from panelkit.session import store
 
+ROWS_A_TASK = 20_000
 
-def _features(df: DataFrame, features: Sequence[str]) -> DataFrame:
+
+def feature_vectors(df: DataFrame, features: Sequence[str]) -> DataFrame:
     clean = df.withColumns({f"_f_{f}": x.finite_or(F.col(f), 0.0) for f in features})
     out = VectorAssembler(inputCols=[f"_f_{f}" for f in features], outputCol="features").transform(clean)
     return out.drop(*[f"_f_{f}" for f in features])
@@ -37,11 +40,13 @@ def train(df: DataFrame, features: Sequence[str] | None = None, target: str = co
     The training rows are stored once: boosting passes over them once per tree.
     """
     features = [f for f in (features or config.RISK_FEATURES) if f in df.columns and f != target]
-    rows = store(_features(training_rows(df, features, target), features).select("features", "label"), "train")
+    rows = store(feature_vectors(training_rows(df, features, target), features).select("features", "label"), "train")
     n = rows.count()
     if n < min_rows:
         return None, None, features
-    rows = spread(rows)
+    # Boosting runs many short jobs: tasks of fewer rows than this only add to their number.
+    tasks = min(max(1, ceil(n / ROWS_A_TASK)), max(rows.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism))
+    rows = rows.coalesce(tasks) if tasks < rows.rdd.getNumPartitions() else rows.repartition(tasks)
     model = GBTRegressor(featuresCol="features", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=rate,
                          seed=seed, cacheNodeIds=False).fit(rows)
     fit = RegressionEvaluator(labelCol="label", metricName="r2").evaluate(model.transform(rows))
@@ -53,7 +58,7 @@ def train(df: DataFrame, features: Sequence[str] | None = None, target: str = co
 
 def predict(df: DataFrame, model, features: Sequence[str], out="risk_score_ml") -> DataFrame:
     """Score every row (missing features as 0), clipped to 0-100."""
-    scored = model.transform(_features(df, features))
+    scored = model.transform(feature_vectors(df, features))
     return scored.withColumn(out, x.clip(F.col("prediction"), 0, 100)).drop("features", "prediction")
 
 
