@@ -67,11 +67,10 @@ SELECT iso_code, year, {r4('ndgain_score', 'vulnerability_score')} FROM (SELECT
 LEFT JOIN nd USING (iso_code, year)"""))
 def source_year_matrices(spark, sf):
     from checks.panel import scores
-    years = list(range(1995, 2002))
     files = {}
     every = lines(spark, sf).select("iso_code", "year").distinct()
     for name in ("ndgain_score", "vulnerability_score"):
-        m = every.join(scores(spark, sf), ["iso_code", "year"], "left").groupBy(F.col("iso_code").alias("ISO3")).pivot("year", years).agg(F.first(name))
+        m = every.join(scores(spark, sf), ["iso_code", "year"], "left").groupBy(F.col("iso_code").alias("ISO3")).pivot("year").agg(F.first(name))
         files[name] = _csv(spark, m.withColumn("Name", F.col("ISO3")).withColumn("sign", F.lit(1)), "matrix")
     return rounded(readers.read_year_matrices(spark, files))
 

@@ -97,7 +97,7 @@ def sql_cluster_summary(spark, sf):
 EPS = 0.9
 
 
-@query("cluster_dbscan", with_fact(f"""
+DBSCAN_SQL = with_fact(f"""
 SELECT p.iso_code, CAST(coalesce(l.number, -1) AS INTEGER) AS dbscan_cluster FROM points p LEFT JOIN labels l ON p.iso_code = l.iso_code""", "month", PROFILES + f""",
 near AS (SELECT p.iso_code AS a, q.iso_code AS b FROM points p, points q WHERE {" + ".join(f"(p.{z} - q.{z}) * (p.{z} - q.{z})" for z in Z)} <= {EPS} * {EPS}),
 core AS (SELECT a FROM near GROUP BY a HAVING count(*) >= 5),
@@ -105,11 +105,20 @@ link AS (SELECT a, b FROM near WHERE a IN (SELECT a FROM core) AND b IN (SELECT
 reach AS (SELECT * FROM (WITH RECURSIVE r(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, link.b FROM r JOIN link ON r.b = link.a) SELECT a, min(b) AS root FROM r GROUP BY a)),
 numbered AS (SELECT a, dense_rank() OVER (ORDER BY root) - 1 AS number FROM reach),
 labels AS (SELECT a AS iso_code, number FROM numbered UNION ALL
-  SELECT near.a, min(number) FROM near JOIN numbered ON near.b = numbered.a WHERE near.a NOT IN (SELECT a FROM core) GROUP BY near.a)"""))
+  SELECT near.a, min(number) FROM near JOIN numbered ON near.b = numbered.a WHERE near.a NOT IN (SELECT a FROM core) GROUP BY near.a)""")
+
+
+@query("cluster_dbscan", DBSCAN_SQL)
 def cluster_dbscan(spark, sf):
     return density.dbscan(points(spark, sf), Z, EPS)
 
 
+@query("cluster_dbscan_grid", DBSCAN_SQL)
+def cluster_dbscan_grid(spark, sf):
+    """The way of large tables, by cells and boxes."""
+    return density.dbscan_on_grid(points(spark, sf), Z, EPS)
+
+
 @query("cluster_kmeans", with_fact(f"SELECT iso_code, {', '.join(f'round({z}, 4) AS {z}' for z in Z)}, 0.0::DOUBLE AS further_than_nearest FROM points", "month", PROFILES))
 def cluster_kmeans(spark, sf):
     """Every point, and by how much its own centroid is further away than the nearest."""

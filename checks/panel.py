@@ -164,7 +164,7 @@ def fact(spark, sf, grain="year") -> DataFrame:
     """The four sources come from one stored pass over the lines, so these are scanned once."""
     rows = store(base(spark, sf, grain), "base")
     return star.build_fact(
-        wide_of(rows, suppliers(spark, sf)), by_period_of(rows), means_of(rows, INDICATORS), means_of(rows, SCORES))
+        wide_of(rows, suppliers(spark, sf)), by_period_of(rows), means_of(rows, INDICATORS), means_of(rows, SCORES), unique=True)
 
 
 def stored_fact(spark, sf, grain="year") -> DataFrame:

@@ -67,12 +67,11 @@ def exact_quantiles(
     upto = Window.partitionBy(*group, "prob").orderBy(F.asc_nulls_first("value"))
     placed = counted.withColumn("end", F.sum("n").over(upto)).withColumn("start", F.col("end") - F.col("n"))
     at = lambda r: (F.col(r) >= F.col("start")) & (F.col(r) < F.col("end"))
-    return (
-        placed.filter(at("below") | at("above"))
-        .groupBy(*group, "prob", "fraction")
-        .agg(F.max(F.when(at("below"), F.col("value"))).alias("lo"), F.max(F.when(at("above"), F.col("value"))).alias("hi"))
-        .select(*group, "prob", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("fraction")).alias("value"))
-    )
+    # Every group and quantile comes back, so a rank outside its bracket is an error and not a lost row.
+    found = placed.groupBy(*group, "prob", "fraction").agg(
+        F.max(F.when(at("below"), F.col("value"))).alias("lo"), F.max(F.when(at("above"), F.col("value"))).alias("hi"))
+    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("fraction")
+    return found.select(*group, "prob", F.when(value.isNull(), F.raise_error(F.lit("a quantile's rank lies outside its bracket")).cast("double")).otherwise(value).alias("value"))
 
 
 def quantile_columns(df: DataFrame, columns: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:

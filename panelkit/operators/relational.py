@@ -8,25 +8,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit.config import ENTITY, PERIOD
 from panelkit.functions.expressions import try_number
-from panelkit.session import store, store_counted
+from panelkit.session import store
 
-BROADCAST_ROWS = 200_000
-
-
-def attach(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", salts: int = 64) -> DataFrame:
+def attach(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join a table of one row per key to a big table whose keys may be very uneven.
 
-    The key table is stored and counted. Up to ``BROADCAST_ROWS`` rows it is broadcast; beyond
-    that both sides are shuffled on (key, salt), so a key holding a third of the rows is spread
-    over ``salts`` tasks.
+    The key table is stored, so the planner knows its size in bytes: it broadcasts a small one (no
+    shuffle, however uneven the keys) and sorts and merges otherwise, where adaptive execution
+    splits the partitions that a hot key fills. Equal rows of the big side are split like any others.
     """
-    small, rows = store_counted(small, "attach")
-    if rows <= BROADCAST_ROWS:
-        return big.join(F.broadcast(small), list(keys), how)
-    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    others = [c for c in big.columns if c not in keys] or list(keys)
-    spread = big.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int"))
-    return spread.join(salted, [*keys, "_salt"], how).drop("_salt")
+    return big.join(store(small, "attach"), list(keys), how)
 
 
 def keep_existing(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -132,28 +123,21 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], value: str, period=PERIOD) -
     )
 
 
-def dense_key(df: DataFrame, key: str, out: str, sample: int = 1024) -> DataFrame:
-    """Number the distinct keys 1..n in key order, without passing them through one task.
+def dense_key(df: DataFrame, key: str, out: str) -> DataFrame:
+    """Number the distinct keys 1..n in key order (long), without passing them through one task.
 
-    A hash-ordered sample of at most ``sample`` keys gives range boundaries, each range is
-    numbered on its own, and the ranges' cumulative sizes (at most ``sample`` + 1 rows) are
-    added as offsets.
+    Spark deals the keys into ranges, as many as there are shuffle partitions. The written table
+    fixes the ranges; each is numbered on its own and moved by the number of keys in those before.
     """
-    keys = store(df.select(key).filter(F.col(key).isNotNull()).distinct(), "keys")
-    bounds = (
-        keys.orderBy(F.xxhash64(key), key).limit(sample)
-        .agg(F.sort_array(F.collect_list(key))).scalar()
-    )
-    ranged = keys.withColumn("_bounds", bounds).select(
-        key, F.size(F.filter("_bounds", lambda b: b < F.col(key))).alias("_range"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_range").count()
-        .select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    )
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
+    ranged = store(keys.repartitionByRange(parts, key).withColumn("_range", F.spark_partition_id()), "keys")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = ranged.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
     within = Window.partitionBy("_range").orderBy(key)
     return (
         ranged.withColumn("_pos", F.row_number().over(within))
         .join(F.broadcast(offsets), "_range")
-        .select(key, (F.col("_offset") + F.col("_pos")).cast("int").alias(out))
+        .select(key, (F.col("_offset") + F.col("_pos")).cast("long").alias(out))
     )

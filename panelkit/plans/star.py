@@ -9,6 +9,7 @@ from panelkit.config import ENTITY, PERIOD
 from panelkit.functions import expressions as x
 from panelkit.operators import windows as win
 from panelkit.operators.relational import attach, dense_key, keep_one
+from panelkit.session import store
 
 
 def _unique(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -18,13 +19,18 @@ def _unique(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def join_sources(
-    wide: DataFrame, by_period: DataFrame, *by_entity: DataFrame, entity=ENTITY, period=PERIOD
+    wide: DataFrame, by_period: DataFrame, *by_entity: DataFrame, entity=ENTITY, period=PERIOD, unique=False
 ) -> DataFrame:
-    """Left joins of the panel with a per-period series and with per-entity indicator tables."""
+    """Left joins of the panel with a per-period series and with per-entity indicator tables.
+
+    ``unique``: the caller states that every source has one row per key, for example because it was
+    just grouped by it; then no window looks for repeats.
+    """
     keys = [entity, period]
-    out = attach(_unique(wide, keys), _unique(by_period, [period]), [period])
+    one = (lambda df, on: df) if unique else _unique
+    out = attach(one(wide, keys), one(by_period, [period]), [period])
     for indicators in by_entity:
-        out = out.join(_unique(indicators, keys), keys, "left")
+        out = out.join(one(indicators, keys), keys, "left")
     return out
 
 
@@ -58,16 +64,16 @@ def history_features(fact: DataFrame, entity=ENTITY, period=PERIOD) -> DataFrame
 
 
 def build_fact(
-    wide: DataFrame, by_period: DataFrame, *by_entity: DataFrame, entity=ENTITY, period=PERIOD
+    wide: DataFrame, by_period: DataFrame, *by_entity: DataFrame, entity=ENTITY, period=PERIOD, unique=False
 ) -> DataFrame:
-    joined = join_sources(wide, by_period, *by_entity, entity=entity, period=period)
+    joined = join_sources(wide, by_period, *by_entity, entity=entity, period=period, unique=unique)
     return history_features(energy_features(joined), entity, period)
 
 
 def with_country_id(fact: DataFrame, entities: DataFrame | None = None, entity=ENTITY) -> DataFrame:
     """Number the entities of the fact, or of the narrower table it was built from."""
     ids = dense_key(fact if entities is None else entities, entity, "country_id")
-    return fact.join(ids, entity, "left")
+    return fact.join(ids.withColumn("country_id", F.col("country_id").cast("int")), entity, "left")
 
 
 def build_dim_country(fact: DataFrame, lookup: DataFrame | None = None, entity=ENTITY, period=PERIOD) -> DataFrame:
@@ -75,10 +81,11 @@ def build_dim_country(fact: DataFrame, lookup: DataFrame | None = None, entity=E
 
     ``lookup`` (entity, continent, income_group) replaces the built-in country tables.
     """
-    names = fact.groupBy(entity).agg(
+    names = store(fact.groupBy(entity).agg(
         F.min_by("country", F.when(F.col("country").isNotNull(), F.col(period))).alias("country_name")
-    )
-    dim = names.join(dense_key(names, entity, "country_id"), entity)
+    ), "names")  # read for the key and for the table
+    ids = dense_key(names, entity, "country_id").withColumn("country_id", F.col("country_id").cast("int"))
+    dim = names.join(ids, entity)
     if lookup is None:
         dim = dim.withColumns({
             "continent": x.lookup(F.col(entity), config.CONTINENT_OF, config.DEFAULT_CONTINENT),

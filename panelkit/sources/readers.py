@@ -61,6 +61,20 @@ def read_stacked_series(
     return last.filter(F.col(PERIOD) >= start).select(PERIOD, out)
 
 
+def read_stacked_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The raw rows of a stacked file, for checks: columns named by the file's own first header line
+    (one with "Year"); titles and headers left out, nothing parsed or dropped. Without a header no columns
+    but ``line``."""
+    lines = spark.read.text(path)
+    header = lines.filter(F.trim(F.split("value", ",")[0]) == "Year").select("value").first()
+    if header is None:
+        return lines.select(F.col("value").alias("line"))
+    names = [n.strip() for n in header[0].split(",")]
+    cells = F.split("value", ",")
+    rows = lines.filter(F.trim(cells[0]).rlike("^[0-9]"))
+    return rows.select(*[F.trim(F.get(cells, F.lit(i))).alias(n) for i, n in enumerate(names)])
+
+
 def read_indicator(spark: SparkSession, path: str, out: str, start: int = config.START_PERIOD) -> DataFrame:
     raw = read_text_csv(spark, path)
     return raw.select(

@@ -116,18 +116,28 @@ def test_quantiles_equal_sorted_interpolation(spark, accuracy):
 def test_dense_key_over_many_ranges(spark):
     names = [f"k{i * 7919 % 5000:05d}" for i in range(5000)]
     df = spark.createDataFrame([(n,) for n in names + names[:100]], "k string")
-    got = {r.k: r.id for r in rel.dense_key(df, "k", "id", sample=50).collect()}
+    got = {r.k: r.id for r in rel.dense_key(df, "k", "id").collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(set(names)))}
 
 
-def test_attach_broadcast_and_salted_agree(spark, monkeypatch):
-    big = spark.createDataFrame([("hot" if i % 3 else f"k{i}", i) for i in range(300)], "k string, v int")
+def test_attach_broadcast_and_merged_agree(spark):
+    """Most rows are equal and have one key; the plan follows the key table's size."""
+    big = spark.createDataFrame([("hot", 1) if i % 3 else (f"k{i}", i) for i in range(300)], "k string, v int")
     small = big.groupBy("k").agg(F.sum("v").alias("s")).filter("k <> 'k0'")
     expected = sorted(map(str, rel.attach(big, small, ["k"]).collect()))
-    monkeypatch.setattr(rel, "BROADCAST_ROWS", 0)
-    for how, rows in (("left", 300), ("inner", 299)):
-        assert rel.attach(big, small, ["k"], how, salts=4).count() == rows
-    assert sorted(map(str, rel.attach(big, small, ["k"], salts=4).select("k", "v", "s").collect())) == expected
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how, rows in (("left", 300), ("inner", 299)):
+            assert rel.attach(big, small, ["k"], how).count() == rows
+        assert sorted(map(str, rel.attach(big, small, ["k"]).select("k", "v", "s").collect())) == expected
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_a_dirty_column_has_quantiles(spark):
+    df = spark.createDataFrame([(v,) for v in ["1", "2", "3", "N/A", "NaN", "1d", None]], "v string")
+    assert quantiles.exact_quantiles(df, ["v"], [0.5]).first()["value"] == 2.0
 
 
 def test_attach_an_empty_key_table(spark):
