@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -44,8 +45,28 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+_owners: list[list[str]] = []  # of the stored tables, innermost last
+
+
+@contextmanager
+def owned_tables(spark: SparkSession):
+    """Deletes at its end what was stored inside. What a job returns has to be read from its own tables by then."""
+    paths: list[str] = []
+    _owners.append(paths)
+    try:
+        yield
+    finally:
+        _owners.remove(paths)
+        for path in paths:
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/panelkit-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/panelkit-{name}-{uuid.uuid4().hex[:12]}"
+    if _owners:
+        _owners[-1].append(path)
+    return path
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

@@ -140,6 +140,17 @@ def test_a_dirty_column_has_quantiles(spark):
     assert quantiles.exact_quantiles(df, ["v"], [0.5]).first()["value"] == 2.0
 
 
+def test_stored_tables_go_with_their_owner(spark):
+    from panelkit.session import owned_tables, scratch_path, store
+    from panelkit.sources.readers import path_exists
+    with owned_tables(spark):
+        assert store(spark.range(3), "kept").count() == 3
+        path = scratch_path(spark, "own")
+        spark.range(2).write.parquet(path)
+        assert path_exists(spark, path)
+    assert not path_exists(spark, path)
+
+
 def test_attach_an_empty_key_table(spark):
     big = spark.createDataFrame([("a", 1)], "k string, v int")
     empty = big.filter("v > 5").groupBy("k").agg(F.sum("v").alias("s"))
@@ -221,8 +232,8 @@ def test_narrative(spark):
         ("NIL", "Nulland", 2023, None, None, None, None, None, None, None, None)], TEXT)
     text = {r.iso_code: r.narrative for r in narrative.narratives(df).collect()}
     assert len(text["TST"]) > 50 and "TestCountry" in text["TST"] and "high" in text["TST"].lower()
-    assert "(+3.5% year-over-year)" in text["TST"] and text["TST"].endswith("investing in climate adaptation.")
-    assert text["NIL"] == "Nulland: climate risk data as of 2023."
+    assert "increasing (+3.5%)" in text["TST"] and text["TST"].endswith("protection from climate damage.")
+    assert text["NIL"] == "Nulland has no risk score for 2023."
 
 
 def test_recommendations(spark):
@@ -231,7 +242,7 @@ def test_recommendations(spark):
     recs = risk.recommendations(df).collect()
     assert [r.iso_code for r in recs] == ["A", "B"]
     assert len(recs[0].recommendations.split(" | ")) == 6
-    assert recs[1].recommendations.startswith("Maintain current")
+    assert recs[1].recommendations.startswith("No rule applies")
     items = risk.recommendation_items(risk.recommendations(df)).filter("iso_code = 'A'").count()
     assert items == 6
 
