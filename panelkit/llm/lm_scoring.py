@@ -76,15 +76,19 @@ def _add_up(rows: pa.Table) -> pa.Table:
 
 
 def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of all buckets that the task reads: class totals, and the most frequent words."""
     names = ["class", "tokens", "words", "hash", "count"]
+    rare, top = np.zeros((2, net.RARE), np.int64), np.zeros((3, 0), np.int64)
     for batch in batches:
         for payload in batch["payload"].to_pylist():
             x = np.frombuffer(payload, np.int64)
-            rare, top = x[:2 * net.RARE].reshape(2, -1), x[2 * net.RARE:].reshape(3, -1)
-            none = pa.nulls(net.RARE, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(net.RARE), pa.int32()), pa.array(rare[0]), pa.array(rare[1]), none, none], names)
-            none = pa.nulls(top.shape[1], pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(top[2], pa.int32()), none, none, pa.array(top[0]), pa.array(top[1])], names)
+            rare = rare + x[:2 * net.RARE].reshape(2, -1)
+            top = np.concatenate([top, x[2 * net.RARE:].reshape(3, -1)], axis=1)
+            top = top[:, np.lexsort((top[0], -top[1]))[:net.KNOWN]]
+    none = pa.nulls(net.RARE, pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(net.RARE), pa.int32()), pa.array(rare[0]), pa.array(rare[1]), none, none], names)
+    none = pa.nulls(top.shape[1], pa.int64())
+    yield pa.RecordBatch.from_arrays([pa.array(top[2], pa.int32()), none, none, pa.array(top[0]), pa.array(top[1])], names)
 
 
 class Vocabulary:
