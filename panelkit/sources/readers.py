@@ -1,7 +1,7 @@
 """Readers for the four source layouts and for stored stage tables.
 
-Every reader declares its schema (no inference pass) and turns text into numbers with
-``try_cast``, so masked values become NULL instead of failing the job.
+Names come from the files' headers and every column is read as text (no inference pass); numbers are
+made by ``try_number``, so masked values become NULL instead of failing the job.
 """
 
 from __future__ import annotations

@@ -1,8 +1,9 @@
-"""Every registered query runs; those with a SQL text equal it."""
+"""Every query of the panel has a SQL text and equals it."""
 
 import pytest
 
 import __spark_entry__ as entry
+from checks import registry
 from checks.verify import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -16,6 +17,7 @@ def con():
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES) and len(QUERIES) > 100
+    assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
 def test_entry(spark):
