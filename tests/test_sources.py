@@ -87,10 +87,11 @@ def built(spark, tmp_path_factory):
             co2 = level * 10 * (1 + 0.01 * (y - 1990)) * (1 + rng.normal(0, 0.05))
             gdp = "" if y > 2022 else f"{rng.uniform(1, 9) * 1e9:.0f}"
             lines.append(f"Country {i},{y},{code},1e7,{gdp},{co2:.4f},{co2 / 10:.4f},{co2 * coal:.4f},{co2 * 0.1:.4f},{co2 * 0.1:.4f},{rng.uniform(100, 900):.2f},x")
+    lines[12] = lines[12].replace(lines[12].split(",")[5], "N/A").replace(lines[12].split(",")[6], "NaN")  # bad values are reported, never raised
     lines += [f"World,{y},,8e9,,999,4,1,1,1,1,x" for y in years]
     (data / jobs.WIDE_FILE).write_text("\n".join(lines))
     row = lambda y: ",".join([str(y)] + ["0.1"] * 12 + [f"{0.02 * (y - 1990):.3f}"] + ["0"] * 5)
-    (data / jobs.SERIES_FILE).write_text("\n".join(["Title", ",".join(config.TEMPERATURE_LAYOUT), *map(row, range(1985, 2025))]))
+    (data / jobs.SERIES_FILE).write_text("\n".join(["Title", ",".join(config.TEMPERATURE_LAYOUT), *map(row, range(1970, 2025))]))
     for f in config.WORLD_BANK_FILES.values():
         (data / f).write_text("\n".join(["FREQ,REF_AREA,TIME_PERIOD,OBS_VALUE"] + [
             f"A,{c},{y},{rng.uniform(1, 99):.2f}" for c in codes for y in range(1990, 2020) if rng.random() > 0.3]))
