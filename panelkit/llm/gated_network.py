@@ -180,18 +180,30 @@ def gradient(w: dict[str, np.ndarray], tokens: np.ndarray, h: np.ndarray) -> tup
 
 
 class Trainer:
-    """Adam over windows of parallel lanes; within a call of ``train`` the state is carried on."""
+    """Adam over windows of parallel lanes; within a call of ``train`` the state is carried on.
+
+    The few tokens that do not fill the lanes wait for the next call, the last ones for ``finish``.
+    """
 
     def __init__(self, weights: dict[str, np.ndarray], lanes: int = 64, window: int = 32, steps: int = 40, rate: float = 0.01):
         self.weights, self.lanes, self.window, self.steps, self.rate = weights, lanes, window, steps, rate
         self.x = flat(weights)
         self.m, self.v, self.turn = np.zeros_like(self.x), np.zeros_like(self.x), 0
+        self.rest = np.zeros(0, np.int64)
 
     def train(self, tokens: np.ndarray) -> None:
+        tokens = np.concatenate([self.rest, tokens])
         # As many lanes as leave each about ``steps`` windows.
         lanes = int(np.clip(len(tokens) // (self.window * self.steps), 1, self.lanes))
         length = len(tokens) // lanes
-        grid = tokens[:lanes * length].reshape(lanes, length).T
+        grid, self.rest = tokens[:lanes * length].reshape(lanes, length).T, tokens[lanes * length:]
+        self.descend(grid)
+
+    def finish(self) -> None:
+        self.descend(self.rest[:, None])
+
+    def descend(self, grid: np.ndarray) -> None:
+        length, lanes = grid.shape
         h = np.zeros((lanes, HIDDEN), np.float32)
         for low in range(0, length, self.window):
             g, h, _ = gradient(self.weights, grid[low:low + self.window], h)

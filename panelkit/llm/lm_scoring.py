@@ -2,8 +2,9 @@
 
 All training documents are counted: blocks send their distinct words with counts, buckets add them
 up and answer. The network (see ``gated_network``) starts from these counts. It is trained in
-rounds: every task trains the same weights on its share of the training documents drawn for the
-round, and the weights are averaged by tokens. Then every block scores its documents.
+rounds, which together draw every training document once: every task trains the same weights on its
+share of the documents of the round, and the weights are averaged by tokens. Then every block scores
+its documents.
 """
 
 from __future__ import annotations
@@ -21,8 +22,6 @@ from panelkit.session import store
 
 BLOCK = 10 << 20  # larger blocks than elsewhere, so that long documents have company in the lanes
 ROUNDS = 3
-SHARE = 1 / 48  # of the training documents that a round draws ...
-LEAST_TOKENS = 2_000_000  # ... but about so many tokens at least, if there are as many
 ENTRY = [np.dtype(np.uint64), np.dtype(np.uint32), np.dtype(np.uint8)]
 STATS = "class int, tokens long, words long, hash long, count long"
 
@@ -129,13 +128,17 @@ def with_ends(values: np.ndarray, first: np.ndarray, end) -> np.ndarray:
     return np.insert(values, first[1:], end)
 
 
+def drawn(docs: DataFrame, turn: int, rounds: int) -> DataFrame:
+    """The training documents of one round; all rounds together draw each once."""
+    draw = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("draw")), F.lit(rounds))
+    return docs.filter(~held_out(F.col("id")) & (draw == turn))
+
+
 def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int, id_col: str, text_col: str) -> dict[str, np.ndarray]:
-    """Weights after training on documents that are not held out."""
+    """Weights after training on all documents that are not held out."""
     spark = docs.sparkSession
     weights = net.begin(vocabulary.counts, vocabulary.rare_tokens)
-    share = min(1 / max(rounds, 1), max(SHARE, LEAST_TOKENS / rounds / max(vocabulary.tokens, 1)))
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit("draw")), F.lit(2**32)) / 2.0**32
     words = spark.sparkContext.broadcast(vocabulary)
     for turn in range(rounds):
         sent = spark.sparkContext.broadcast(net.flat(weights))
@@ -149,11 +152,11 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int, id_col: str, tex
                     tokens = with_ends(words.value.of(found.hash, rare_class(part["text"], found)), found.first, net.END)
                     trainer.train(tokens)
                     n += len(tokens)
+            trainer.finish()
             if n:
                 yield exchange.in_slices(np.append(net.flat(trainer.weights).astype(np.float64) * n, n))
 
-        drawn = own.filter(~held_out(F.col("id")) & (draw >= turn * share) & (draw < (turn + 1) * share))
-        total = exchange.add_slices(drawn.select("text").mapInArrow(learn, "slice int, part binary"), np.dtype(np.float64), 1)
+        total = exchange.add_slices(drawn(own, turn, rounds).select("text").mapInArrow(learn, "slice int, part binary"), np.dtype(np.float64), 1)
         if total[-1]:
             weights = net.unflat(total[:-1] / total[-1])
     return weights

@@ -8,7 +8,7 @@ import pytest
 
 from llm_cases import plain
 from panelkit.llm import gated_network as net
-from panelkit.llm.lm_scoring import lm_scores
+from panelkit.llm.lm_scoring import Vocabulary, drawn, lm_scores, train
 
 
 def tokens_of(text):
@@ -87,3 +87,31 @@ def test_learns_what_follows_what(spark):
 
 def test_empty_table(no_docs):
     assert lm_scores(no_docs, rounds=1).count() == 0
+
+
+def test_rounds_draw_every_training_document_once(spark):
+    docs = spark.range(500).toDF("id")
+    want = sorted(i for i in range(500) if zlib.crc32(str(i).encode()) % 7 != 2)
+    for rounds in (1, 3, 7):
+        assert sorted(r.id for turn in range(rounds) for r in drawn(docs, turn, rounds).collect()) == want
+
+
+def test_training_does_not_depend_on_the_size_of_the_corpus(spark):
+    docs = spark.createDataFrame([(i, f"one two three {i % 5}") for i in range(200)], "doc_id long, text string").coalesce(1)
+    found = []
+    for more in (0, 10**9):  # tokens that the vocabulary counts besides
+        vocabulary = Vocabulary([], [{"class": k, "tokens": 25, "words": 1} for k in range(net.RARE)], 172)
+        vocabulary.tokens += more
+        found.append(net.flat(train(docs, vocabulary, 3, "doc_id", "text")))
+    assert np.array_equal(*found)
+
+
+def test_trainer_leaves_no_token_out(weights, monkeypatch):
+    seen, real = [], net.gradient
+    monkeypatch.setattr(net, "gradient", lambda w, tokens, h: seen.extend(tokens.T.ravel().tolist()) or real(w, tokens, h))
+    tokens = np.random.default_rng(4).integers(0, net.KNOWN + net.RARE, 7 * 1280 + 1285)
+    trainer = net.Trainer(weights)
+    for part in (tokens[:4001], tokens[4001:9003], tokens[9003:]):
+        trainer.train(part)
+    trainer.finish()
+    assert sorted(seen) == sorted(tokens.tolist())
