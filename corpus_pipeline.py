@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from panelkit.llm.decontamination import decontaminate
 from panelkit.llm.importance import keep_selected
 from panelkit.llm.jaccard_join import jaccard_join
-from panelkit.llm.line_dedup import line_dedup
+from panelkit.llm.line_dedup import MIN_TOKENS, line_dedup
 from panelkit.llm.packing import pack_documents, tokenizer_path
 from panelkit.llm.registry import query, table
 from panelkit.session import store
@@ -32,19 +32,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_selected(docs, table(spark, sf_dir, "labels"))
 
 
-def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """Lines whose template an earlier document has go, and with them documents that lose all they had.
 
     Null texts become empty ones; n_chars counts what is left.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    out = line_dedup(docs, carry=others)
+    out = line_dedup(docs, min_tokens=min_tokens, carry=others)
     out = out.filter((F.col("n_dropped") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]")).withColumnRenamed("kept", "text")
     if "n_chars" in others:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(docs.columns)
 
 
+def every_line(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``lines`` of every length, so that of a later copy nothing is left."""
+    return lines(spark, docs, sf_dir, min_tokens=1)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles (similarity 0.8 or more) the smallest id stays."""
     marked = docs.withColumn(ROW, row_key())
@@ -70,7 +75,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, tokenizer_path())
 
 
-STAGES = [("quality", quality), ("line_dedup", lines), ("near_duplicates", near_duplicates), ("decontamination", benchmark), ("packing", packing)]
+STAGES = [("quality", quality), ("line_dedup", every_line), ("near_duplicates", near_duplicates), ("decontamination", benchmark), ("packing", packing)]
 ORACLE_SQL = None
 
 

@@ -6,6 +6,8 @@ enough tokens agree; where they differ the template becomes variable. Otherwise
 template. Lines are taken in the order of the smallest document id they occur in, so the result
 does not depend on how the work is dealt out, and lines that are equal but for fields are put
 together before anything is shuffled. Leaves that only one document reaches send nothing more.
+Short lines have too few tokens for a similarity: all of theirs lead, as they are, so that only
+equal ones share a leaf.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from panelkit.llm.words import BLANK_WORDS, P1, mix, text_bytes, words_of
 
 LEADING = 3
 SIMILARITY = 0.75
-MIN_TOKENS = 5
+MIN_TOKENS = 5  # lines of fewer are short
 FIELD = np.uint64(0x5BD1E9955BD1E995)  # stands for a token with digits
 
 
@@ -34,18 +36,21 @@ class Lines:
         words = words_of(rows["text"], BLANK_WORDS, False)
         breaks = np.concatenate([[0], np.cumsum(raw == 0x0A)])
         digits = np.concatenate([[0], np.cumsum((raw >= 0x30) & (raw <= 0x39))])
-        token = np.where(digits[words.end] > digits[words.start], FIELD, words.hash)
         line = breaks[words.start] + words.doc  # each document begins a line of its own
         opens = np.flatnonzero(np.diff(line, prepend=-1))
         size = np.diff(np.append(opens, len(line)))
-        keep = size >= max(min_tokens, leading)
+        short = size < max(MIN_TOKENS, leading)
+        token = np.where((digits[words.end] > digits[words.start]) & ~np.repeat(short, size), FIELD, words.hash)
+        keep = size >= min_tokens
         self.first, self.size = opens[keep], size[keep]
         self.doc = words.doc[self.first]
         self.number = line[self.first] - self.doc - breaks[at[self.doc]]  # in its document, from 0
         self.token = token
         leaf = mix(self.size.astype(np.uint64))
-        for k in range(leading):
-            leaf = mix(leaf * P1 + token[self.first + k])
+        leads = np.where(short[keep], self.size, leading)
+        for k in range(int(leads.max(initial=0))):
+            on = leads > k
+            leaf[on] = mix(leaf[on] * P1 + token[self.first[on] + k])
         self.leaf = leaf
         self.ids = rows["id"].to_numpy()[self.doc]
 
@@ -99,7 +104,7 @@ def grow_templates(tokens: np.ndarray, similarity: float) -> np.ndarray:
     return out
 
 
-def _first_seen(payloads: list[bytes], similarity: float) -> list[bytes]:
+def _first_seen(payloads: list[bytes], leading: int, similarity: float) -> list[bytes]:
     """For each entry the smallest id in which its template occurs."""
     leaf, ids, size, token = [], [], [], []
     for p in payloads:
@@ -125,7 +130,7 @@ def _first_seen(payloads: list[bytes], similarity: float) -> list[bytes]:
         least = np.full(len(distinct), 2**63 - 1, np.int64)
         np.minimum.at(least, line, ids[group])
         by_age = np.argsort(least, kind="stable")
-        began = grow_templates(distinct[by_age], similarity) if len(distinct) > 1 else np.zeros(1, np.int64)
+        began = grow_templates(distinct[by_age], similarity if n >= max(MIN_TOKENS, leading) else 1.0) if len(distinct) > 1 else np.zeros(1, np.int64)
         first = np.empty(len(distinct), np.int64)
         first[by_age] = least[by_age][began]
         out[group] = first[line]
@@ -138,7 +143,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A line is dropped if its template also occurs in a document with a smaller id, so of a recurring
     template the lines of its first document stay. Repeats within one document stay. Lines end at line
-    feeds, tokens are split at blanks; lines of fewer than ``min_tokens`` tokens are left alone. Null and
+    feeds, tokens are split at blanks; lines of fewer than ``min_tokens`` tokens are left alone, and of the
+    others those of fewer than MIN_TOKENS (or ``leading``, if more) recur only as they are. Null and
     empty texts have no lines. Rows without an id count as before all others; rows with one id are one
     document in this comparison. Other columns are not read.
     """
@@ -182,12 +188,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return pa.table({"doc_id": exchange.ids_of(rows), "n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(np.diff(edge), pa.int64()), "kept": pa.array(kept, pa.string())} | exchange.carried_of(rows, carry))
 
     seen = exchange.ask(blocks, leaves, exchange.shared_answer)
-    first = exchange.ask_again(blocks, seen, contents, lambda payloads: _first_seen(payloads, similarity))
+    first = exchange.ask_again(blocks, seen, contents, lambda payloads: _first_seen(payloads, leading, similarity))
     schema = exchange.with_carried("doc_id long, n_lines long, n_dropped long, kept string", blocks, carry)
     return exchange.two_answers(blocks, seen, first, dropped, schema)
 
 
 @query("op10_line_dedup")
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(table(spark, sf_dir, "documents"))
+    out = line_dedup(table(spark, sf_dir, "documents"), min_tokens=1)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

@@ -1,8 +1,10 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from llm_cases import SCHEMA, plain
-from panelkit.llm.line_dedup import line_dedup
+from panelkit.llm.line_dedup import line_dedup, op10_line_dedup
 
 
 def brute(rows, leading=3, similarity=0.75, least=5):
@@ -69,3 +71,36 @@ def test_carried_columns(hard_docs, no_docs):
     rows = line_dedup(hard_docs, carry=["lang", "block", "id"]).collect()
     assert len(rows) == hard_docs.count() and all(r.lang == "en" and r.block is None and r.id == 7 for r in rows)
     assert line_dedup(no_docs, carry=["lang"]).count() == 0
+
+
+def test_short_lines_recur_as_they_are(spark):
+    texts = ["All rights reserved.\nPage 1 of 9\nyes", "All rights  reserved.\nPage 2 of 9\n\nAll rights reserved", "Page 1 of 9\nno", "7\nyes", "8\nyes no"]
+    frame = spark.createDataFrame([(i, t, None, None, None, None) for i, t in enumerate(texts)], SCHEMA).repartition(3)
+    got = {r.doc_id: r.kept for r in line_dedup(frame, min_tokens=1).collect()}
+    assert got == {0: texts[0], 1: "Page 2 of 9\n\nAll rights reserved", 2: "no", 3: "7", 4: "8\nyes no"}
+
+
+def test_every_length_as_brute_force(hard_docs):
+    def first_seen(rows):
+        first = {}
+        for doc, text in rows:
+            for line in (text or "").split("\n"):
+                tokens = line.encode().split()
+                tokens = tuple(tokens if len(tokens) < 5 else ("<*>" if re.search(rb"[0-9]", t) else t for t in tokens))
+                yield doc, line, tokens
+                first[tokens] = min(first.get(tokens, float("inf")), float("-inf") if doc is None else doc)
+        yield first
+
+    rows = plain(hard_docs)
+    *lines, first = first_seen(rows)
+    want = sorted(str((doc, line)) for doc, line, tokens in lines if not tokens or first[tokens] >= (float("-inf") if doc is None else doc))
+    got = line_dedup(hard_docs, similarity=1.0, min_tokens=1).collect()
+    # What loses all its lines is empty, like what had one empty line.
+    got = sorted(str((r.doc_id, line)) for r in got if r.n_dropped < r.n_lines or not r.n_lines for line in r.kept.split("\n"))
+    assert got == want
+
+
+def test_query_takes_every_length(spark):
+    name = "/root/testdata/sf0.001"
+    want = line_dedup(spark.read.parquet(f"{name}/documents.parquet"), min_tokens=1).agg(F.sum("n_dropped")).first()[0]
+    assert op10_line_dedup(spark, name).agg(F.sum("n_dropped")).first()[0] == want

@@ -65,3 +65,10 @@ def test_empty_table(spark, small):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert docs.count() == 0
+
+
+def test_nothing_is_left_of_a_later_copy(spark, small):
+    text = "A headline\na line of five tokens or more\nAll rights reserved."
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "A headline\nof its own")], "doc_id long, text string")
+    stage = dict(pipeline.STAGES)["line_dedup"]
+    assert rows_of(stage(spark, docs, SMALL)) == [(1, text), (3, "of its own")]
