@@ -7,12 +7,13 @@ sets that have a rare shingle in common in their prefixes form a family, the onl
 can be. Within a family index lists are cut into blocks by position and skipped by what a position
 still allows, and the answers of a set are derived from those of a highly similar set: their
 overlaps with a third set differ by no more than the two sets do, so most are settled by this
-bound and the others by counting the difference alone. Sets already connected are not compared.
+bound and the others by counting the difference alone. Every set gets all its answers, so that
+its links are counted; links that several tasks see count in one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -94,9 +95,10 @@ def _sets(rows: pa.Table, told: list[bytes], n_words: int, percent: int, buckets
     })
 
 
-def link_sets(sizes: np.ndarray, prefix: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+def link_sets(sizes: np.ndarray, prefix: np.ndarray, sets: list[np.ndarray], percent: int, tell: Callable[[int, np.ndarray], None] | None = None) -> np.ndarray:
     """For each set the smallest place of a set it is connected to. ``sizes`` count also what no other
-    document has; sets hold the rest in the common order of rarity."""
+    document has; sets hold the rest in the common order of rarity. ``tell`` gets each set's place and
+    the places of all sets it links to, if there are any."""
     back = np.argsort(sizes, kind="stable")
     size = sizes[back].astype(np.int64)
     length = np.array([len(sets[b]) for b in back], np.int64)
@@ -121,8 +123,11 @@ def link_sets(sizes: np.ndarray, prefix: np.ndarray, sets: list[np.ndarray], per
         return lists[between(list_edge[of], list_edge[of + 1])]
 
     def connect(i: int, others: np.ndarray) -> None:
+        if tell is not None:
+            tell(back[i], back[others])
         gone = np.unique(np.append(root[others], root[i]))
-        root[np.isin(root, gone)] = gone[0]
+        if len(gone) > 1:
+            root[np.isin(root, gone)] = gone[0]
 
     mark = np.zeros(int(flat.max()) + 1, bool)
     for pivot in range(n):
@@ -147,20 +152,17 @@ def link_sets(sizes: np.ndarray, prefix: np.ndarray, sets: list[np.ndarray], per
         full = None
         for other in todo:
             done[other] = True
-            open_ = np.flatnonzero((root != root[other]) & ~done)
-            if not len(open_):
-                continue
             if full is None:  # the pivot's overlaps with all sets, once for all derivations
                 full = np.bincount(holders(tokens(pivot)), minlength=n)
             extra, missing = np.setdiff1d(tokens(other), tokens(pivot)), np.setdiff1d(tokens(pivot), tokens(other))
-            wanted = need(size[other], size[open_], percent)
-            open_ = open_[full[open_] + len(extra) >= wanted]
-            if not len(open_):
-                continue
-            exact = full + np.bincount(holders(extra), minlength=n) - np.bincount(holders(missing), minlength=n)
-            open_ = open_[exact[open_] >= need(size[other], size[open_], percent)]
-            if len(open_):
-                connect(other, open_)
+            wanted = need(size[other], size, percent)
+            links = full - len(missing) >= wanted
+            unsettled = ~links & (full + len(extra) >= wanted)
+            if unsettled.any():
+                exact = full + np.bincount(holders(extra), minlength=n) - np.bincount(holders(missing), minlength=n)
+                links |= unsettled & (exact >= wanted)
+            links[other] = False
+            connect(other, np.flatnonzero(links))
     least_place = np.full(n, n)
     np.minimum.at(least_place, root, back)
     out = np.empty(n, np.int64)
@@ -177,24 +179,36 @@ def between(low: np.ndarray, high: np.ndarray) -> np.ndarray:
     return np.arange(offset[-1] + size[-1]) + np.repeat(low - offset, size)
 
 
-def _link_family(rows: pa.Table, percent: int) -> pa.Table:
+def _link_family(part: int, rows: pa.Table, percent: int) -> pa.Table:
+    """For each linked set a member it is connected to (a, b), and the rows it links to. Two sets
+    count in the first part that both are dealt to."""
     node = rows["node"].to_numpy()
     order = np.argsort(node, kind="stable")
-    held = rows["held"].to_pylist()
-    root = link_sets(rows["n"].to_numpy()[order], rows["prefix"].to_numpy()[order], [np.frombuffer(held[i], np.uint64) for i in order], percent)
-    node = node[order]
-    linked = root != np.arange(len(root))
-    return pa.table({"a": pa.array(node[linked], pa.int64()), "b": pa.array(node[root[linked]], pa.int64())})
+    held, dealt = rows["held"].to_pylist(), rows["dealt"].to_pylist()
+    node, copies = node[order], rows["copies"].to_numpy()[order]
+    parts = np.unique(np.concatenate([np.array(d) for d in dealt]))
+    at = np.zeros((len(order), len(parts)), bool)
+    for k, i in enumerate(order):
+        at[k, np.searchsorted(parts, dealt[i])] = True
+    before = at[:, parts < part]
+    links, linked = np.zeros(len(order), np.int64), np.zeros(len(order), bool)
+
+    def tell(i: int, others: np.ndarray) -> None:
+        linked[i] = True
+        links[i] = copies[others][~(before[others] & before[i]).any(axis=1)].sum()
+
+    root = link_sets(rows["n"].to_numpy()[order], rows["prefix"].to_numpy()[order], [np.frombuffer(held[i], np.uint64) for i in order], percent, tell)
+    return pa.table({"a": pa.array(node[linked], pa.int64()), "b": pa.array(node[root[linked]], pa.int64()), "links": pa.array(links[linked], pa.int64())})
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4, percent: int = 85, carry: Sequence[str] = ()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, group, and the columns named in ``carry``.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, n_links, group, and the columns named in ``carry``.
 
     Two rows link when 100 * intersection >= percent * union of their sets of distinct ``n_words``
     shingles (A-Z lower-cased; fewer words make one shingle of the whole). component_id is the
     smallest id reachable by links, the row's own included; rows without an id have no say in it and
     get null when all they reach have none. Connected rows, and only they, have the same group; it is null
-    for rows without shingles. Null, empty and blank texts link with nothing. Rows with
+    for rows without shingles. n_links is the number of other rows that link with the row. Null, empty and blank texts link with nothing. Rows with
     one id and different texts are nodes of their own. Other columns are not read.
     """
     blocks = exchange.in_blocks(docs, id_col, text_col, carry=carry)
@@ -209,7 +223,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     counts = exchange.ask(blocks, question, _add_up)
     rows = store(exchange.conclude(blocks, counts, lambda rows, told: _sets(rows, told, n_words, percent, buckets), schema), "sets")
-    classes = rows.filter("held IS NOT NULL").dropDuplicates(["one", "two"]).select("one", "two", "n", "prefix", "held")
+    copies = rows.filter("n > 0").groupBy("one", "two").agg(F.count(F.lit(1)).alias("copies"))
+    classes = rows.filter("held IS NOT NULL").dropDuplicates(["one", "two"]).select("one", "two", "n", "prefix", "held").join(copies, ["one", "two"])
     classes = store(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
     def prefixes(batches):
@@ -222,27 +237,33 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first = heads.groupBy("shingle").agg(F.min("node").alias("first"), F.max("node").alias("last")).filter("first < last")
     shared = store(heads.join(first, "shingle").select("shingle", "node", "first"), "heads")
     family = components(shared.select(F.col("node").alias("a"), F.col("first").alias("b")).distinct())
-    sets = classes.select("node", "n", "prefix", "held").join(family, "node")
+    sets = classes.select("node", "n", "prefix", "held", "copies").join(family, "node")
     # A family beyond FAMILY_BYTES is dealt out by its prefix shingles; each set goes where its own are.
     large = sets.groupBy("root").agg(F.sum(F.length("held")).alias("bytes")).select("root", F.ceil(F.col("bytes") / FAMILY_BYTES).cast("int").alias("parts"))
     sets = sets.join(large, "root")
-    small = sets.filter("parts = 1").withColumn("part", F.lit(0).cast("long"))
+    small = sets.filter("parts = 1").withColumn("part", F.lit(0).cast("long")).withColumn("dealt", F.array("part"))
     split = shared.join(sets.filter("parts > 1").select("node", "root", "parts"), "node").select("node", "root", F.pmod(F.xxhash64("shingle"), "parts").alias("part")).distinct()
-    split = split.join(sets.filter("parts > 1"), ["node", "root"])
-    columns = ["root", "part", "node", "n", "prefix", "held"]
-    links = small.select(columns).unionByName(split.select(columns)).groupBy("root", "part").applyInArrow(lambda t: _link_family(t, percent), "a long, b long")
-    joined = components(store(links, "links"))
-    classes = classes.select("one", "two", "node").join(joined, "node", "left").select("one", "two", F.coalesce("root", "node").alias("root"))
+    dealt = split.groupBy("node").agg(F.sort_array(F.collect_list("part")).alias("dealt"))
+    split = split.join(sets.filter("parts > 1").join(dealt, "node"), ["node", "root"])
+    columns = ["root", "part", "node", "n", "prefix", "held", "copies", "dealt"]
+    links = small.select(columns).unionByName(split.select(columns)).groupBy("root", "part").applyInArrow(lambda key, t: _link_family(key[1].as_py(), t, percent), "a long, b long, links long")
+    links = store(links, "links")
+    joined = components(links.select("a", "b"))
+    number = links.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    classes = classes.select("one", "two", "node", "copies").join(joined, "node", "left").join(number, "node", "left")
+    # A row also links to the others of its class.
+    classes = classes.select("one", "two", F.coalesce("root", "node").alias("root"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     # Rows that share a class or a root: the smallest id, taken before each shuffle.
     lowest = rows.filter("known AND n > 0").groupBy("one", "two").agg(F.min("id").alias("lowest"))
     lowest = lowest.join(classes, ["one", "two"], "left")
     reach = lowest.filter("root IS NOT NULL").groupBy("root").agg(F.min("lowest").alias("reach"))
-    lowest = lowest.join(reach, "root", "left").select("one", "two", "root", F.coalesce("reach", "lowest").alias("reach"))
+    lowest = lowest.join(reach, "root", "left").select("one", "two", "root", F.coalesce("reach", "lowest").alias("reach"), "n_links")
     # A class none of whose rows has an id reaches one through its root.
-    orphans = classes.join(lowest.select("one", "two"), ["one", "two"], "left_anti").join(reach, "root", "left").select("one", "two", "root", "reach")
+    orphans = classes.join(lowest.select("one", "two"), ["one", "two"], "left_anti").join(reach, "root", "left").select("one", "two", "root", "reach", "n_links")
     out = rows.drop("held", "prefix").join(lowest.unionByName(orphans), ["one", "two"], "left")
     return out.select(
         F.expr("if(known, id, null)").alias("doc_id"), F.col("n").alias("n_shingles"), F.expr("if(n > 0, reach, if(known, id, null))").alias("component_id"),
+        F.expr("if(n > 0, coalesce(n_links, 0L), 0L)").alias("n_links"),
         F.expr("if(n > 0, coalesce(string(root), concat_ws('/', one, two)), null)").alias("group"), *[F.col(f"carried.`{c}`") for c in carry],
     )
 

@@ -96,3 +96,23 @@ def test_groups_and_carried_columns(hard_docs):
 
 def test_empty_table(no_docs):
     assert jaccard_join(no_docs).count() == 0
+
+
+def links_of(rows, k, percent):
+    sets = []
+    for _, t in rows:
+        w = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
+        sets.append({tuple(w[i:i + k]) for i in range(len(w) - k + 1)} or ({tuple(w)} if w else set()))
+    number = [sum(bool(a and b) and i != j and 100 * len(a & b) >= percent * len(a | b) for j, b in enumerate(sets)) for i, a in enumerate(sets)]
+    return sorted([(doc, len(a), m) for (doc, _), a, m in zip(rows, sets, number)], key=str)
+
+
+def test_links_are_counted(spark, hard_docs, monkeypatch):
+    rows = near_copies() + [(100 + i, t) for i, t in near_copies()[:9]]
+    frame = spark.createDataFrame([(i, t, None, None, None, None) for i, t in rows], SCHEMA)
+    want = links_of(rows, 4, 85)
+    assert len({m for *_, m in want}) > 5
+    found = lambda df: sorted([(r.doc_id, r.n_shingles, r.n_links) for r in jaccard_join(df).collect()], key=str)
+    assert found(frame) == want and found(hard_docs) == links_of(plain(hard_docs), 4, 85)
+    monkeypatch.setattr(module, "FAMILY_BYTES", 4000)  # families dealt out by shingle
+    assert found(frame) == want
