@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from checks.panel import (
     INDICATORS, SCORES, by_period, fact, growth_sql, indicator, indicators, lines, lookup, scores,
@@ -11,8 +13,9 @@ from checks.panel import (
 from checks.registry import query, r4, rounded
 from panelkit import config
 from panelkit.functions import expressions as x
-from panelkit.operators import quantiles, relational as rel, windows as win
+from panelkit.operators import quantiles, relational as rel, scans, text_search, windows as win
 from panelkit.plans import star
+from panelkit.session import store
 
 FACT_DOUBLES = [
     "population", "gdp", "co2", "coal_co2", "gas_co2", "oil_co2", "co2_per_capita", "energy_per_capita",
@@ -80,6 +83,38 @@ def window_fill_both(spark, sf):
     return rounded(joined.select("iso_code", "year", win.fill_both("vulnerability_score").alias("filled")))
 
 
+LONG = """lines AS (SELECT CASE WHEN l_suppkey % 5 = 0 THEN 'S' || l_suppkey ELSE 'most' END AS iso_code, ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 1000 + l_suppkey % 1000 AS year,
+  CASE WHEN l_discount >= 0.03 THEN l_extendedprice END AS price, CASE WHEN l_tax >= 0.02 THEN l_quantity::DOUBLE END AS quantity FROM lineitem)"""
+
+
+def long_series(spark, sf):
+    """Order lines as series, one of which holds four fifths of all rows."""
+    entity = F.when(F.col("l_suppkey") % 5 == 0, F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).otherwise("most")
+    return table(spark, sf, "lineitem").select(
+        entity.alias("iso_code"), (((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 100_000 + F.col("l_partkey")) * 1000 + F.col("l_suppkey") % 1000).alias("year"),
+        F.when(F.col("l_discount") >= 0.03, F.col("l_extendedprice")).alias("price"),
+        F.when(F.col("l_tax") >= 0.02, F.col("l_quantity").cast("double")).alias("quantity"))
+
+
+@query("scan_percent_change", f"""WITH {LONG}, seen AS (SELECT iso_code, year, last_value(price IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS now,
+  last_value(price IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM lines WINDOW w AS (PARTITION BY iso_code ORDER BY year))
+SELECT iso_code, year, round(CASE WHEN before <> 0 THEN (now / before - 1) * 100 END, 4) AS change FROM seen""")
+def scan_percent_change(spark, sf):
+    return rounded(scans.with_history(long_series(spark, sf), percent_changes={"change": "price"}).select("iso_code", "year", "change"))
+
+
+@query("scan_rolling_mean", f"""WITH {LONG} SELECT iso_code, year, CASE WHEN count(quantity) OVER w >= 3 THEN round(avg(quantity) OVER w, 4) END AS rolling
+FROM lines WINDOW w AS (PARTITION BY iso_code ORDER BY year ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""")
+def scan_rolling_mean(spark, sf):
+    return rounded(scans.with_history(long_series(spark, sf), rolling_means={"rolling": ("quantity", 5, 3)}).select("iso_code", "year", "rolling"))
+
+
+@query("scan_fill_both", f"""WITH {LONG} SELECT iso_code, year, round(coalesce(last_value(price IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+  first_value(price IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)), 4) AS filled FROM lines WINDOW w AS (PARTITION BY iso_code ORDER BY year)""")
+def scan_fill_both(spark, sf):
+    return rounded(scans.with_history(long_series(spark, sf), fills={"filled": "price"}).select("iso_code", "year", "filled"))
+
+
 @query("window_lag_totals", with_sources("""
 SELECT year, round(total_co2, 0) AS total_co2, round((total_co2 - before) / nullif(before, 0) * 100, 2) AS yoy_growth_pct
 FROM (SELECT year, total_co2, lag(total_co2) OVER (ORDER BY year) AS before
@@ -197,6 +232,17 @@ def search_entities(spark, sf):
     return rel.search(table(spark, sf, "supplier").select("s_suppkey", "s_name"), " SUPPLIER#00000000", ["s_name"], order=["s_suppkey"])
 
 
+@query("search_by_pieces", " UNION ALL ".join(f"""SELECT * FROM (SELECT '{text}' AS searched, p_partkey, p_name, p_type FROM part
+WHERE contains(lower(p_name), '{text}') OR contains(lower(p_type), '{text}') ORDER BY p_partkey LIMIT 15)""" for text in ("brushed cop", "ed", "t 1", "not there", "x")))
+def search_by_pieces(spark, sf):
+    """Several searches in one index: long and short texts, across a blank, and one that nothing holds."""
+    rows = store(table(spark, sf, "part").select("p_partkey", "p_name", "p_type"), "parts")
+    index = text_search.build_index(rows, ["p_name", "p_type"], "p_partkey")
+    found = [text_search.search_index(index, rows, text, ["p_name", "p_type"], id="p_partkey", order=["p_partkey"]).withColumn("searched", F.lit(text))
+             for text in ("brushed cop", "ed", "t 1", "not there", "x")]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("join_sources", with_sources(f"""
 SELECT wide.iso_code, wide.year, {r4("co2", "temperature_anomaly", *INDICATORS, *SCORES)}
 FROM wide LEFT JOIN temp USING (year) LEFT JOIN wb USING (iso_code, year) LEFT JOIN nd USING (iso_code, year)""", "month"))

@@ -8,8 +8,8 @@ from checks.panel import INDICATORS, by_period, indicator, lines, stored_fact, t
 from checks.registry import query, r4, rounded
 from panelkit import config
 from panelkit.plans import star
-from panelkit.session import scratch_path
-from panelkit.sources import readers, writers
+from panelkit.session import scratch_path, store
+from panelkit.sources import readers, versions, writers
 
 
 def _csv(spark, df: DataFrame, name: str) -> str:
@@ -114,10 +114,42 @@ def sink_snapshot(spark, sf):
     writers.write_stage(table(spark, sf, "customer"), base, "dim_country")
     writers.write_stage(table(spark, sf, "nation"), base, "dim_time")
     record = writers.snapshot(spark, base, target, version="v1")
-    rows = spark.read.parquet(f"{target}/version=v1/dim_country").agg(F.count("*").alias("dim_rows")).first()[0]
+    rows = versions.read_version(spark, target, "dim_country", "v1").agg(F.count("*").alias("dim_rows")).first()[0]
     return record.select("version", "files_versioned", F.lit(rows).cast("long").alias("dim_rows"))
 
 
+@query("sink_version_as_of", """
+SELECT 'v1' AS version, o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice), 2) AS total, count(*) AS referenced FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'v2', o_orderstatus, count(*), round(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice + 1 ELSE o_totalprice END), 2), CASE WHEN o_orderstatus = 'F' THEN 0 ELSE count(*) END FROM orders GROUP BY o_orderstatus""")
+def sink_version_as_of(spark, sf):
+    """Two versions of the orders, split by status, of which one status changes: their rows, and the rows that
+    the second takes from the first one's files."""
+    target = scratch_path(spark, "versions")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    raised = orders.withColumn("o_totalprice", F.col("o_totalprice") + (F.col("o_orderstatus") == "F").cast("int"))
+    out = []
+    for version, rows in (("v1", orders), ("v2", raised)):
+        versions.write_version(spark, {"orders": rows}, target, version, {"orders": "o_orderstatus"})
+    for version in ("v1", "v2"):
+        own = versions.read_version(spark, target, "orders", version)
+        told = versions.read_manifest(spark, target, version).select(F.col("partition").alias("status"), F.when(F.col("path").endswith("version=v1"), F.col("rows")).otherwise(F.lit(0)).alias("referenced"))
+        sums = own.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+        out.append(sums.join(told, "status").select(F.lit(version).alias("version"), "status", "n", "total", "referenced"))
+    return out[0].unionByName(out[1])
+
+
+@query("key_registry", """
+SELECT 'first' AS version, c_name AS name, row_number() OVER (ORDER BY c_name) AS id FROM customer WHERE c_custkey % 3 <> 0
+UNION ALL SELECT 'second', c_name, row_number() OVER (ORDER BY c_custkey % 3 = 0, c_name) FROM customer""")
+def key_registry(spark, sf):
+    """Keys of two thirds of the customers, then of all: the first ones stay, new ones follow."""
+    target = scratch_path(spark, "keys")
+    rows = table(spark, sf, "customer").select("c_custkey", F.col("c_name").alias("name"))
+    first = store(versions.assign_keys(spark, rows.filter("c_custkey % 3 <> 0"), "name", target, "first"), "first")
+    second = versions.assign_keys(spark, rows, "name", target, "second")
+    return first.withColumn("version", F.lit("first")).unionByName(second.withColumn("version", F.lit("second"))).select("version", "name", "id")
+
+
 @query("sink_flat_csv", """
 SELECT c_custkey, c_name, c_acctbal FROM customer""")
 def sink_flat_csv(spark, sf):

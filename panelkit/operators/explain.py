@@ -7,14 +7,16 @@ from math import factorial
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelkit.config import ENTITY
+from panelkit.functions.draws import fraction_of
 from panelkit.functions.expressions import finite_or
+from panelkit.functions.normal import normal_quantile, normal_share
+from panelkit.operators.boosting import BoostedTrees
 from panelkit.operators.quantiles import quantile_columns
 from panelkit.operators.relational import top_k
-from panelkit.session import scratch_path, store
+from panelkit.session import spread, store
 
 
 # One leaf of one tree: the features on its path, the interval (low, high] each has to lie in, and
@@ -22,21 +24,6 @@ from panelkit.session import scratch_path, store
 Leaf = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def tree_nodes(spark: SparkSession, model) -> tuple[list[list], list[float]]:
-    """Nodes of each tree through MLlib's saved form: a few thousand rows at most, set by the
-    number and depth of the trees and not by the data."""
-    path = scratch_path(spark, "trees")
-    model.write().save(path)
-    rows = spark.read.parquet(f"{path}/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.rawCount", "nodeData.leftChild",
-        "nodeData.rightChild", "nodeData.split.featureIndex", "nodeData.split.leftCategoriesOrThreshold",
-    ).collect()
-    trees: list[dict] = [{} for _ in model.treeWeights]
-    for r in rows:
-        trees[r["treeID"]][r["id"]] = r
-    return trees, list(model.treeWeights)
-
-
 def _leaf_table(value: float, cover: np.ndarray) -> np.ndarray:
     """Shapley contributions of one leaf, for all 2^m patterns of met intervals.
 
@@ -59,29 +46,25 @@ def _leaf_table(value: float, cover: np.ndarray) -> np.ndarray:
     return out
 
 
-def leaves_of(trees: list[dict], weights: list[float]) -> tuple[list[Leaf], float]:
+def leaves_of(model: BoostedTrees) -> tuple[list[Leaf], float]:
     """All leaves, and the model's mean prediction over its training rows."""
-    leaves, base = [], 0.0
-    for nodes, weight in zip(trees, weights):
-        stack = [(0, {})]
+    leaves, base = [], model.base
+    for nodes in model.trees:
+        stack = [(nodes[0], {})]
         while stack:
-            key, path = stack.pop()
-            node = nodes[key]
-            if node["leftChild"] < 0:
-                value = weight * node["prediction"]
+            node, path = stack.pop()
+            if node.feature < 0:
                 names = sorted(path)
                 cover = np.array([path[f][2] for f in names])
-                base += value * float(np.prod(cover))
+                base += node.value * float(np.prod(cover))
                 if names:
                     leaves.append((np.array(names), np.array([path[f][0] for f in names]),
-                                   np.array([path[f][1] for f in names]), _leaf_table(value, cover)))
+                                   np.array([path[f][1] for f in names]), _leaf_table(node.value, cover)))
                 continue
-            f, cut = node["featureIndex"], node["leftCategoriesOrThreshold"][0]
+            f, left, right = node.feature, nodes[node.left], nodes[node.right]
             low, high, share = path.get(f, (-np.inf, np.inf, 1.0))
-            left, right = nodes[node["leftChild"]], nodes[node["rightChild"]]
-            n = max(node["rawCount"], 1)
-            stack.append((node["leftChild"], {**path, f: (low, min(high, cut), share * left["rawCount"] / n)}))
-            stack.append((node["rightChild"], {**path, f: (max(low, cut), high, share * right["rawCount"] / n)}))
+            stack.append((left, {**path, f: (low, min(high, node.cut), share * left.rows / node.rows)}))
+            stack.append((right, {**path, f: (max(low, node.cut), high, share * right.rows / node.rows)}))
     return leaves, base
 
 
@@ -94,14 +77,14 @@ def _attribute(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
     return out
 
 
-def shapley_values(df: DataFrame, model, features: Sequence[str], ids: Sequence[str] = (ENTITY, "country")) -> DataFrame:
+def shapley_values(df: DataFrame, model: BoostedTrees, features: Sequence[str], ids: Sequence[str] = (ENTITY, "country")) -> DataFrame:
     """Exact tree attributions ``shap_<feature>`` per row, plus ``base_value``.
 
     For each row, the attributions and the base value add up to the model's prediction. Rows are
     scored in place, batch by batch; nothing is joined or multiplied out.
     """
     features, ids = list(features), list(ids)
-    leaves, base = leaves_of(*tree_nodes(df.sparkSession, model))
+    leaves, base = leaves_of(model)
     shared = df.sparkSession.sparkContext.broadcast(leaves)
     rows = df.select(*ids, *[finite_or(F.col(f), 0.0).alias(f) for f in features])
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in ids)
@@ -169,8 +152,46 @@ def bin_profile(df: DataFrame, features: Sequence[str], cuts: DataFrame) -> dict
     return out
 
 
+def _perturbed(targets: DataFrame, features: Sequence[str], ids: Sequence[str], profile: dict[str, list[dict]], edges: dict[str, list[float]], samples: int, seed: int) -> DataFrame:
+    """For every target row ``samples`` drawn rows: the ids, the features, and ``same_<feature>``.
+
+    A feature's bin is drawn by the bins' shares, its value from the normal distribution of the bin's mean
+    and deviation cut to the bin's range: the inverse distribution function at a uniform number
+    between the shares at both ends. Draws are hashes, so nothing is drawn again. The first sample is the row itself.
+    """
+    rows = targets.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
+    columns = {}
+    for f in features:
+        bins, own = profile[f], F.col(f"`{f}`")
+        draw = lambda what, f=f: fraction_of(F.lit(seed), F.col(ids[0]), F.col("sample"), F.lit(f), F.lit(what))
+        total, upto, pick = sum(b["n"] for b in bins), 0, None
+        values = []
+        for b in bins:
+            std = b["std"] or 0.0
+            low, high = (normal_share((b[e] - b["mean"]) / std) if std else 0.5 for e in ("lo", "hi"))
+            values.append((b["bin"], float(b["mean"]), float(std), low, high - low))
+        for b in bins[:-1]:
+            upto += b["n"]
+            pick = (F if pick is None else pick).when(F.col(f"u_{f}") < upto / total, F.lit(b["bin"]))
+        pick = F.lit(bins[-1]["bin"]) if pick is None else pick.otherwise(F.lit(bins[-1]["bin"]))
+        columns[f] = (own, draw, pick, values, _bin_of(own, *edges[f]))
+    rows = rows.withColumns({f"u_{f}": c[1]("bin") for f, c in columns.items()})
+    rows = rows.withColumns({f"b_{f}": F.when(F.col("sample") == 0, c[4]).otherwise(c[2]) for f, c in columns.items()})
+
+    def part(f: str, i: int) -> Column:
+        out = None
+        for v in columns[f][3]:
+            out = (F if out is None else out).when(F.col(f"b_{f}") == v[0], F.lit(v[i]))
+        return out
+
+    rows = rows.withColumns({f"p_{f}": part(f, 3) + c[1]("value") * part(f, 4) for f, c in columns.items()})
+    drawn = {f: F.when(F.col("sample") == 0, c[0]).otherwise(part(f, 1) + part(f, 2) * normal_quantile(F.col(f"p_{f}"))) for f, c in columns.items()}
+    same = [(F.col(f"b_{f}") == c[4]).cast("double").alias(f"same_{f}") for f, c in columns.items()]
+    return rows.select(*ids, *[c.alias(f) for f, c in drawn.items()], *same)
+
+
 def local_rules(
-    df: DataFrame, model, features: Sequence[str], explain: DataFrame, samples: int = 5000, seed: int = 42,
+    df: DataFrame, model: BoostedTrees, features: Sequence[str], explain: DataFrame, samples: int = 5000, seed: int = 42,
     ids: Sequence[str] = (ENTITY, "country"), ridge: float = 1.0,
 ) -> DataFrame:
     """Local surrogate of the model around each row of ``explain``: (ids, feature_rule, lime_weight).
@@ -181,50 +202,15 @@ def local_rules(
     grouped in Spark, so a task only solves one small system per explained row.
     """
     features, ids = list(features), list(ids)
-    spark = df.sparkSession
     clean = store(df.select([finite_or(F.col(f), 0.0).alias(f) for f in features]), "lime")
-    cuts = quantile_columns(clean, features, {"q1": 0.25, "q2": 0.5, "q3": 0.75})
-    cuts = store(cuts, "cuts")
+    cuts = store(quantile_columns(clean, features, {"q1": 0.25, "q2": 0.5, "q3": 0.75}), "cuts")
     profile = bin_profile(clean, features, cuts)
     q = cuts.first()
-    targets = explain.select(*ids, *[finite_or(F.col(f), 0.0).alias(f) for f in features])
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in targets.schema.fields if f.name in ids)
-    schema = f"{kept}, " + ", ".join(f"{f} double" for f in features) + ", " + ", ".join(f"same_{f} double" for f in features)
     edges = {f: [q[f"q1_{f}"], q[f"q2_{f}"], q[f"q3_{f}"]] for f in features}
+    targets = spread(store(explain.select(*ids, *[finite_or(F.col(f), 0.0).alias(f) for f in features]), "targets"))
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in targets.schema.fields if f.name in ids)
 
-    def draw(rng, bins, n):
-        share = np.array([b["n"] for b in bins], dtype=float)
-        pick = rng.choice(len(bins), size=n, p=share / share.sum())
-        values = np.empty(n)
-        for k, b in enumerate(bins):
-            at = np.flatnonzero(pick == k)
-            v = rng.normal(b["mean"], b["std"] or 0.0, len(at))
-            for _ in range(50):  # redraw what falls outside the bin
-                out = (v < b["lo"]) | (v > b["hi"])
-                if not out.any():
-                    break
-                v[out] = rng.normal(b["mean"], b["std"] or 0.0, int(out.sum()))
-            values[at] = np.clip(v, b["lo"], b["hi"])
-        return np.array([b["bin"] for b in bins])[pick], values
-
-    def perturb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import zlib
-        for pdf in batches:
-            for row in pdf.to_dict("records"):
-                rng = np.random.default_rng(seed + zlib.crc32(str(row[ids[0]]).encode()))
-                out = {}
-                for f in features:
-                    own = int(np.searchsorted(edges[f], row[f], side="left"))
-                    bins, values = draw(rng, profile[f], samples)
-                    bins[0], values[0] = own, row[f]  # the first sample is the row itself
-                    out[f], out[f"same_{f}"] = values, (bins == own).astype(float)
-                block = pd.DataFrame(out)
-                for i, c in enumerate(ids):
-                    block.insert(i, c, row[c])
-                yield block
-
-    drawn = targets.repartition(*ids).mapInPandas(perturb, schema)
-    scored = model.transform(VectorAssembler(inputCols=features, outputCol="features").transform(drawn))
+    scored = model.predict(_perturbed(targets, features, ids, profile, edges, samples, seed))
     width = 0.75 * float(np.sqrt(len(features)))
     same = [F.col(f"same_{f}") for f in features]
     distance2 = sum((1 - s) for s in same)
@@ -255,6 +241,6 @@ def local_rules(
     return weights.join(texts, [*ids, "feature"]).select(*ids, "feature_rule", "lime_weight")
 
 
-def local_rules_for_top(df: DataFrame, model, features: Sequence[str], by: str = "vulnerability_score", n: int = 15,
+def local_rules_for_top(df: DataFrame, model: BoostedTrees, features: Sequence[str], by: str = "vulnerability_score", n: int = 15,
                         samples: int = 5000, ids: Sequence[str] = (ENTITY, "country")) -> DataFrame:
     return local_rules(df, model, features, top_k(df, by, n, [ids[0]]), samples, ids=ids)

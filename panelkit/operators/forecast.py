@@ -1,29 +1,34 @@
 """Forecasts of every entity's series at once.
 
-Two models are closed forms over grouped sums (no Python, no per-entity loop); two are pooled
-regressions on lagged values, trained once across all entities. Each returns one row per entity
-and future period with value, lower and upper bound of a 90 % band.
-
-  arima    AR(1) on first differences, by conditional least squares
-  prophet  linear trend with one change of slope, the change shrunk by a ridge penalty
+Models of one series are closed forms over grouped sums (no Python, no per-entity loop) or, for a trend with
+several changes of slope, a small group per entity; two are pooled regressions on lagged values,
+trained once across all entities. Each returns one row per entity and future period with value,
+lower and upper bound of a 90 % band.
+
+  arima    AR(1) on first differences, by exact likelihood
+  prophet  linear trend whose slope changes at few of many places (``trend.changepoint_forecast``), or with one
+           change shrunk by a ridge penalty (``trend_forecast``)
   lstm     pooled gradient-boosted trees on five lags of the standardised series
   np       pooled linear regression on the same lags, with a +-5 % band
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelkit import config
 from panelkit.config import BAND_90, ENTITY, HORIZON, PERIOD
 from panelkit.functions.expressions import clip
+from panelkit.operators import boosting
 from panelkit.operators.relational import full_outer
+from panelkit.operators.trees import tree_walk
+from panelkit.operators.trend import changepoint_forecast
 from panelkit.operators.windows import lagged_sequences, standardise_by_entity
-from panelkit.session import spread, store
+from panelkit.session import store
 
 MODELS = ["prophet", "lstm", "arima", "np"]
 LAGS = 5
@@ -42,9 +47,25 @@ def _band(model: str, floor: float | None, value: Column, lower: Column, upper:
     return [clip(c, lo=floor).alias(n) if floor is not None else c.alias(n) for n, c in zip(names, (value, lower, upper))]
 
 
-def difference_forecast(df: DataFrame, value="co2", horizon=HORIZON, min_points=10, limit=0.99,
-                        entity=ENTITY, period=PERIOD) -> DataFrame:
-    """AR(1) on differences: d_t = phi d_(t-1) + e, summed up from the last value."""
+def _likeliest(all_, cross, inner, m) -> Column:
+    """phi of the largest exact likelihood of m differences with d_t = phi d_(t-1) + e.
+
+    ``all_``: the sum of all squares, ``cross``: of neighbours' products, ``inner``: of squares but the first and
+    last. The first difference counts with its stationary variance, so this is what a state-space filter
+    maximises; its derivative has one root between -1 and 1, found by halving.
+    """
+    def slope(p: Column) -> Column:
+        return m * (p * inner - cross) * (1 - p * p) + p * (all_ - 2 * p * cross + p * p * inner)
+
+    halves = F.array(*[F.lit(2.0**-i) for i in range(1, 51)])
+    return F.when(all_ > 0, F.aggregate(halves, F.lit(0.0), lambda p, step: p + F.when(slope(p) < 0, step).otherwise(-step))).otherwise(0.0)
+
+
+def difference_forecast(df: DataFrame, value="co2", horizon=HORIZON, min_points=10, entity=ENTITY, period=PERIOD) -> DataFrame:
+    """AR(1) on differences, fitted by exact likelihood: d_t = phi d_(t-1) + e, summed up from the last value.
+
+    All that the likelihood needs are grouped sums. The band grows with the variance of the summed-up errors.
+    """
     w = Window.partitionBy(entity).orderBy(period)
     d = F.col("d")
     steps = (
@@ -52,20 +73,21 @@ def difference_forecast(df: DataFrame, value="co2", horizon=HORIZON, min_points=
         .withColumn("d", F.col("y") - F.lag("y").over(w))
         .withColumn("d1", F.lag("d").over(w))
     )
-    pair = F.col("d1").isNotNull()
+    ends = lambda f: F.coalesce(f("d", F.when(d.isNotNull(), F.col(period))), F.lit(0.0))
     fit = steps.groupBy(entity).agg(
         F.count("*").alias("n"),
         F.max(period).alias("last"),
         F.max_by("y", period).alias("y_last"),
-        F.max_by("d", period).alias("d_last"),
-        F.sum(d * F.col("d1")).alias("sxy"),
-        F.sum(F.col("d1") * F.col("d1")).alias("sxx"),
-        F.sum(F.when(pair, d * d)).alias("syy"),
-        F.count_if(pair).alias("m"),
+        ends(F.max_by).alias("d_last"),
+        ends(F.min_by).alias("d_first"),
+        F.sum(d * F.col("d1")).alias("cross"),
+        F.sum(d * d).alias("all"),
+        F.count("d").alias("m"),
     ).filter(F.col("n") >= min_points)
-    phi = F.when(F.col("sxx") > 0, F.greatest(F.lit(-limit), F.least(F.lit(limit), F.col("sxy") / F.col("sxx")))).otherwise(0.0)
-    fit = fit.withColumn("phi", phi).withColumn(
-        "var", F.greatest(F.lit(0.0), F.col("syy") - 2 * F.col("phi") * F.col("sxy") + F.col("phi") * F.col("phi") * F.col("sxx")) / F.col("m"))
+    c = F.col
+    fit = fit.withColumn("inner", c("all") - c("d_first") * c("d_first") - c("d_last") * c("d_last"))
+    fit = fit.withColumn("phi", _likeliest(c("all"), c("cross"), c("inner"), c("m")))
+    fit = fit.withColumn("var", F.greatest(F.lit(0.0), c("all") - 2 * c("phi") * c("cross") + c("phi") * c("phi") * c("inner")) / c("m"))
     rows = fit.select("*", _future(horizon))
     p, h = F.col("phi"), F.col("h")
     ph = F.pow(p, h)
@@ -148,57 +170,52 @@ def _start_state(lags: DataFrame, entity: str, period: str) -> DataFrame:
     return last.select(entity, "last", *state, "s.series_mean", "s.series_std")
 
 
-def _recursive(predict, state: DataFrame, horizon: int) -> DataFrame:
-    """Feed each prediction back as the newest lag; one column ``p_h`` per step."""
-    for h in range(1, horizon + 1):
-        state = predict(state, f"p_{h}")
-        shifted = {"lag_1": F.col(f"p_{h}"), **{f"lag_{i + 1}": F.col(f"lag_{i}") for i in range(1, LAGS)}}
-        state = state.withColumns(shifted)
-    return state
-
+def _steps(state: DataFrame, predict, horizon: int, entity: str) -> DataFrame:
+    """(entity, last, h, v): predictions fed back as the newest lag, one after the other.
 
-def _steps(state: DataFrame, horizon: int) -> Column:
-    return F.explode(F.array(*[
-        F.struct(F.lit(h).alias("h"), (F.col(f"p_{h}") * F.col("series_std") + F.col("series_mean")).alias("v"))
-        for h in range(1, horizon + 1)])).alias("step")
+    ``predict`` is a function of the array of lags, the newest first.
+    """
+    lags = F.array(*[F.col(f"lag_{i}") for i in range(1, LAGS + 1)])
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), lags, lambda newest, _: F.concat(F.array(predict(newest)), newest))
+    rows = state.select(entity, "last", "series_mean", "series_std", F.posexplode(F.reverse(F.slice(path, 1, horizon))).alias("at", "z"))
+    return rows.select(entity, "last", (F.col("at") + 1).alias("h"), (F.col("z") * F.col("series_std") + F.col("series_mean")).alias("v"))
 
 
-def pooled_tree_forecast(df: DataFrame, value="co2", horizon=HORIZON, trees=20, depth=4, seed=42,
+def pooled_tree_forecast(df: DataFrame, value="co2", horizon=HORIZON, trees=20, depth=4, rate=0.1,
                          entity=ENTITY, period=PERIOD) -> DataFrame:
-    lags = spread(store(lag_table(df, value, entity=entity, period=period), "lags"))
+    """Boosted trees on five lags of all series; the band is the spread of the series' own residuals."""
+    lags = store(lag_table(df, value, entity=entity, period=period), "lags")
     names = [f"lag_{i}" for i in range(1, LAGS + 1)]
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-    model = GBTRegressor(featuresCol="features", labelCol="z", predictionCol="p", maxIter=trees, maxDepth=depth,
-                         stepSize=0.1, seed=seed).fit(assembler.transform(lags).select("features", "z"))
-
-    def predict(state, out):
-        return model.copy().setPredictionCol(out).transform(assembler.transform(state)).drop("features")
-
-    residuals = predict(lags, "p").groupBy(entity).agg(
-        F.stddev_pop((F.col("z") - F.col("p")) * F.col("series_std")).alias("resid"))
-    path = _recursive(predict, _start_state(lags, entity, period), horizon).join(residuals, entity)
-    rows = path.select(entity, "last", "resid", _steps(path, horizon))
-    v = clip(F.col("step.v"), lo=0)
+    model = boosting.fit(lags, names, "z", trees, depth, rate)
+    walk = tree_walk(model.trees)
+    residuals = model.predict(lags, "p").groupBy(entity).agg(F.stddev_pop((F.col("z") - F.col("p")) * F.col("series_std")).alias("resid"))
+    rows = _steps(_start_state(lags, entity, period), lambda x: model.base + walk(x), horizon, entity).join(residuals, entity)
+    v = clip(F.col("v"), lo=0)
     half = BAND_90 * F.col("resid")
-    return rows.select(entity, (F.col("last") + F.col("step.h")).cast("int").alias(period),
+    return rows.select(entity, (F.col("last") + F.col("h")).cast("int").alias(period),
                        v.alias("lstm_co2"), clip(v - half, lo=0).alias("lstm_lower"), (v + half).alias("lstm_upper"))
 
 
-def pooled_linear_forecast(df: DataFrame, value="co2", horizon=HORIZON, entity=ENTITY, period=PERIOD) -> DataFrame:
+def linear_weights(rows: DataFrame, features: Sequence[str], label: str, ridge: float) -> list[float]:
+    """Intercept and weights of a ridge regression, from one pass of grouped sums; the intercept is free."""
+    one = [F.lit(1.0), *[F.col(f) for f in features]]
+    sums = [F.sum(a * b).alias(f"a_{i}_{j}") for i, a in enumerate(one) for j, b in enumerate(one) if i <= j]
+    s = rows.agg(*sums, *[F.sum(a * F.col(label)).alias(f"b_{i}") for i, a in enumerate(one)]).first()
+    k = len(one)
+    if s["a_0_0"] is None:
+        return [0.0] * k
+    a = np.array([[s[f"a_{min(i, j)}_{max(i, j)}"] for j in range(k)] for i in range(k)])
+    return np.linalg.lstsq(a + np.diag([0.0] + [ridge] * (k - 1)), np.array([s[f"b_{i}"] for i in range(k)]), rcond=None)[0].tolist()
+
+
+def pooled_linear_forecast(df: DataFrame, value="co2", horizon=HORIZON, ridge=1e-3, entity=ENTITY, period=PERIOD) -> DataFrame:
+    """A ridge regression on the same lags."""
     lags = store(lag_table(df, value, entity=entity, period=period), "lags")
-    names = [f"lag_{i}" for i in range(1, LAGS + 1)]
-    train = VectorAssembler(inputCols=names, outputCol="features").transform(lags).select("features", "z")
-    model = LinearRegression(featuresCol="features", labelCol="z", solver="normal", regParam=1e-6).fit(train)
-    weights = [float(c) for c in model.coefficients]
-
-    def predict(state, out):
-        terms = [F.col(n) * w for n, w in zip(names, weights)]
-        return state.withColumn(out, reduce(lambda p, q: p + q, terms) + float(model.intercept))
-
-    path = _recursive(predict, _start_state(lags, entity, period), horizon)
-    rows = path.select(entity, "last", _steps(path, horizon))
-    v = F.col("step.v")
-    return rows.select(entity, (F.col("last") + F.col("step.h")).cast("int").alias(period),
+    intercept, *weights = linear_weights(lags, [f"lag_{i}" for i in range(1, LAGS + 1)], "z", ridge)
+    predict = lambda x: reduce(lambda p, q: p + q, [F.get(x, F.lit(i)) * w for i, w in enumerate(weights)]) + intercept
+    rows = _steps(_start_state(lags, entity, period), predict, horizon, entity)
+    v = F.col("v")
+    return rows.select(entity, (F.col("last") + F.col("h")).cast("int").alias(period),
                        *_band("np", 0, v, v * 0.95, v * 1.05))
 
 
@@ -238,11 +255,12 @@ def assemble(models: DataFrame, temperature: DataFrame, fact: DataFrame, entity=
     )
 
 
-def forecasts(fact: DataFrame, horizon=HORIZON, trees=20, entity=ENTITY, period=PERIOD) -> DataFrame:
-    """All four models, the ensemble and the context columns for every entity."""
+def forecasts(fact: DataFrame, horizon=HORIZON, trees=20, depth=4, one_knot=False, entity=ENTITY, period=PERIOD) -> DataFrame:
+    """All four models, the ensemble and the context columns for every entity. ``one_knot`` takes the closed form of the trend."""
+    trend = trend_forecast if one_knot else changepoint_forecast
     frames = {
-        "prophet": trend_forecast(fact, horizon=horizon, entity=entity, period=period),
-        "lstm": pooled_tree_forecast(fact, horizon=horizon, trees=trees, entity=entity, period=period),
+        "prophet": trend(fact, horizon=horizon, entity=entity, period=period),
+        "lstm": pooled_tree_forecast(fact, horizon=horizon, trees=trees, depth=depth, entity=entity, period=period),
         "arima": difference_forecast(fact, horizon=horizon, entity=entity, period=period),
         "np": pooled_linear_forecast(fact, horizon=horizon, entity=entity, period=period),
     }

@@ -1,14 +1,15 @@
-"""Isolation forest: trees grown on small seeded samples, all rows scored in place.
+"""Isolation forest: trees grown on small samples drawn by hash, all rows scored in the JVM.
 
 Growing a tree needs at most ``sample`` rows whatever the size of the table, so the work that
 grows with the data is one pass for the column statistics, one that draws the samples and one
-that scores.
+that scores. Every draw (rows of a tree, feature and cut of a node) is a hash of the seed and of what is
+drawn for, so the same table gives the same forest on any number of machines.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil, log2
+from math import ceil, log, log2
 
 import numpy as np
 import pandas as pd
@@ -16,8 +17,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from panelkit import config
 from panelkit.config import ENTITY, PERIOD
+from panelkit.functions.draws import fraction, fraction_of
 from panelkit.functions.expressions import finite
 from panelkit.operators.quantiles import exact_quantiles, quantile_columns
+from panelkit.operators.trees import TABLE, Node, sum_over_trees, trees_of
 from panelkit.session import spread, store
 
 EULER = 0.5772156649015329
@@ -41,91 +44,71 @@ def prepare(df: DataFrame, features: Sequence[str], known: str) -> DataFrame:
     return rows.withColumns({c: (F.col(c) - (s[f"mean_{c}"] or 0.0)) / (s[f"std_{c}"] or 1.0) for c in z})
 
 
-def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
-    """Nodes (feature, cut, left, right, path length); feature -1 marks a leaf."""
+def _grow(x: np.ndarray, limit: int, name: str) -> list[Node]:
+    """Nodes whose value is the path length; a node's draws go by the tree's name and its place in a full tree."""
     nodes: list = []
 
-    def build(rows, depth):
+    def build(rows, depth, place):
         at = len(nodes)
         nodes.append(None)
-        span = np.flatnonzero(rows.max(axis=0) > rows.min(axis=0)) if len(rows) > 1 else []
+        low, high = (rows.min(axis=0), rows.max(axis=0)) if len(rows) else (rows, rows)
+        span = np.flatnonzero(high > low) if len(rows) > 1 else []
         if depth >= limit or len(span) == 0:
-            nodes[at] = (-1, 0.0, -1, -1, depth + float(average_depth(len(rows))))
+            nodes[at] = Node(-1, 0.0, -1, -1, depth + float(average_depth(len(rows))), len(rows))
             return at
-        f = int(rng.choice(span))
-        cut = float(rng.uniform(rows[:, f].min(), rows[:, f].max()))
+        f = int(span[int(fraction(f"{name}:{place}:feature") * len(span))])
+        cut = float(low[f] + fraction(f"{name}:{place}:cut") * (high[f] - low[f]))
+        if cut >= high[f]:  # by rounding
+            cut = float(low[f])
         below = rows[:, f] <= cut
-        if below.all():  # the draw met the maximum
-            below = rows[:, f] < rows[:, f].max()
-        nodes[at] = (f, cut, build(rows[below], depth + 1), build(rows[~below], depth + 1), 0.0)
+        nodes[at] = Node(f, cut, build(rows[below], depth + 1, 2 * place), build(rows[~below], depth + 1, 2 * place + 1), 0.0, len(rows))
         return at
 
-    build(x, 0)
+    build(x, 0, 1)
     return nodes
 
 
 def draw_samples(rows: DataFrame, ids: Sequence[str], n: int, trees: int, sample: int, seed: int) -> DataFrame:
-    """About ``sample`` rows per tree, chosen by a hash of the row's key and the tree's number.
+    """About a quarter more than ``sample`` rows per tree, with ``tree`` and ``draw``, the number that orders them.
 
-    A row joins a tree with the same small probability everywhere, so no ranking over the table
-    is needed; a second hash first thins a large table to the rows any tree can use.
+    A row joins a tree with the same small probability everywhere, so no ranking over the table is needed. A
+    first draw thins a large table to the rows any tree can use. Then a row draws a few trees, as many as it
+    would join on average; in a table of few rows it is asked for every tree instead.
     """
-    want = trees * sample * 1.25
-    keep = min(1.0, want / n)
+    keep = min(1.0, trees * sample * 1.25 / n)
     per_tree = min(1.0, sample * 1.25 / (n * keep))
-    scale = 1 << 30
     key = [F.col(c) for c in ids]
-    pool = rows.filter(F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(scale)) < int(keep * scale))
-    picked = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.pmod(F.xxhash64(F.lit(seed + 1), t, *key), F.lit(scale)) < int(per_tree * scale))
-    return pool.select("*", F.explode(picked).alias("tree"))
-
-
-def grow_forest(rows: DataFrame, columns: Sequence[str], ids: Sequence[str], trees: int, sample: int, seed: int) -> tuple[list, int]:
-    """(trees as node lists, rows per tree); the forest's size depends on its parameters only."""
+    pool = rows.filter(fraction_of(F.lit(seed), F.lit("pool"), *key) < keep)
+    if per_tree >= 0.5:
+        asked = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        return asked.withColumn("draw", fraction_of(F.lit(seed), F.col("tree"), *key)).filter(F.col("draw") < per_tree)
+    joins = -trees * log(1 - per_tree)  # drawing one tree twice is made up for
+    slots = ceil(joins)
+    slot = F.col("slot")
+    drawn = pool.withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))).filter(fraction_of(F.lit(seed), F.lit("join"), slot, *key) < joins / slots)
+    drawn = drawn.withColumn("tree", F.floor(fraction_of(F.lit(seed), F.lit("tree"), slot, *key) * trees).cast("int")).drop("slot")
+    return drawn.withColumn("draw", fraction_of(F.lit(seed), F.col("tree"), *key))
+
+
+def grow_forest(rows: DataFrame, columns: Sequence[str], ids: Sequence[str], trees: int, sample: int, seed: int) -> tuple[list[list[Node]], int]:
+    """(trees, rows per tree); the forest's size depends on its parameters only."""
     n = rows.count()
     if n == 0:
         return [], 0
     size = min(sample, n)
     limit = max(1, ceil(log2(max(size, 2))))
-    columns = list(columns)
-    order = list(ids)
+    columns, ids = list(columns), list(ids)
+    names = [f.split()[0] for f in TABLE.split(", ")]
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree])
-        pdf = pdf.sort_values(order, kind="stable")
-        x = pdf[columns].to_numpy(dtype=float)
-        if len(x) > size:
-            x = x[rng.choice(len(x), size, replace=False)]
-        nodes = _grow(x, rng, limit)
-        return pd.DataFrame([(tree, i, *node) for i, node in enumerate(nodes)],
-                            columns=["tree", "node", "feature", "cut", "left", "right", "length"])
-
-    drawn = draw_samples(rows.select(*ids, *columns), ids, n, trees, sample, seed)
-    grown = drawn.groupBy("tree").applyInPandas(
-        grow, "tree int, node int, feature int, cut double, left int, right int, length double")
-    forest: dict[int, list] = {}
-    for r in grown.orderBy("tree", "node").collect():
-        forest.setdefault(r["tree"], []).append((r["feature"], r["cut"], r["left"], r["right"], r["length"]))
-    return list(forest.values()), size
-
-
-def _path_lengths(x: np.ndarray, forest: list[tuple[np.ndarray, ...]]) -> np.ndarray:
-    total = np.zeros(len(x))
-    rows = np.arange(len(x))
-    for feature, cut, left, right, length in forest:
-        at = np.zeros(len(x), dtype=int)
-        while True:
-            f = feature[at]
-            inner = f >= 0
-            if not inner.any():
-                break
-            go_left = x[rows, np.where(inner, f, 0)] <= cut[at]
-            at = np.where(inner, np.where(go_left, left[at], right[at]), at)
-        total += length[at]
-    return total / len(forest)
+        x = pdf.drop_duplicates(ids).sort_values(["draw", *ids], kind="stable")[columns].to_numpy(dtype=float)[:size]
+        nodes = _grow(x, limit, f"{seed}:{tree}")
+        return pd.DataFrame([(tree, i, *node) for i, node in enumerate(nodes)], columns=names)
+
+    tasks = min(trees, rows.sparkSession.sparkContext.defaultParallelism)  # little data, much work
+    drawn = draw_samples(rows.select(*ids, *columns), ids, n, trees, sample, seed).repartition(tasks, "tree")
+    return trees_of(drawn.groupBy("tree").applyInPandas(grow, TABLE)), size
 
 
 def isolation_forest(
@@ -146,17 +129,10 @@ def isolation_forest(
     forest, size = grow_forest(rows, z, ids, trees, sample, seed)
     if not forest:
         return df.limit(0).withColumns({"anomaly_score": F.lit(0.0), "is_anomaly": F.lit(0)})
-    shared = df.sparkSession.sparkContext.broadcast([
-        tuple(np.array(col, dtype=t) for col, t in zip(zip(*nodes), (int, float, int, int, float))) for nodes in forest])
     norm = float(average_depth(size)) or 1.0
-
-    @F.pandas_udf("double")
-    def score(*values: pd.Series) -> pd.Series:
-        depth = _path_lengths(np.column_stack([v.to_numpy(dtype=float) for v in values]), shared.value)
-        return pd.Series(-np.power(2.0, -depth / norm))
-
-    # Only the scaled features go to Python; all other columns stay where they are.
-    scored = store(rows.withColumn("raw_score", score(*z)).drop(*z), "scored")
+    depth = sum_over_trees(forest, [F.col(c) for c in z]) / len(forest)
+    # Rounded, so that rows of equal paths have equal scores in whatever order the trees were added.
+    scored = store(rows.withColumn("raw_score", F.round(-F.pow(F.lit(2.0), -depth / norm), 12)).drop(*z), "scored")
     offset = exact_quantiles(scored, ["raw_score"], [contamination]).first()["value"]
     out = scored.withColumn("anomaly_score", F.col("raw_score") - F.lit(offset)).drop("raw_score")
     return out.withColumn("is_anomaly", (F.col("anomaly_score") < 0).cast("int"))

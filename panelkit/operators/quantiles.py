@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from panelkit.functions.expressions import try_number
 from panelkit.operators.relational import attach
+from panelkit.session import store
+
+RANGES = 64  # that a bracket is cut into in one pass
 
 
 def _number(df: DataFrame, column: str) -> Column:
@@ -16,20 +19,50 @@ def _number(df: DataFrame, column: str) -> Column:
     return F.col(f"`{column}`").cast("double") if numeric else try_number(F.col(f"`{column}`"))
 
 
+def _inside(long: DataFrame, wanted: DataFrame, group: list[str], fields: Sequence[str]) -> DataFrame:
+    """The values that lie in a bracket of their group, once for each such bracket, with its fields."""
+    brackets = wanted.groupBy(*group).agg(F.collect_list(F.struct(*fields)).alias("brackets"))  # two for each quantile at most
+    rows = attach(long, brackets, group, "inner")
+    own = F.filter("brackets", lambda b: (b["low"] <= F.col("value")) & (F.col("value") <= b["high"]))
+    return rows.select(*group, "value", F.explode(own).alias("b")).select(*group, "value", "b.*")
+
+
+def _narrowed(long: DataFrame, state: DataFrame, group: list[str]) -> DataFrame:
+    """The state after one more pass: each wanted rank's bracket is one of the ranges of its old one.
+
+    A mergeable sketch cuts every bracket into ranges of about as many values; the ranges are counted,
+    with partial sums before the shuffle; the counts tell which range holds the rank. The sketch only
+    has to be about right, as all that is used of it is checked by counting.
+    """
+    key = [*group, "low", "high"]
+    brackets = state.select(*key).distinct()
+    inside = _inside(long, brackets, group, ["low", "high"])
+    cuts = [i / RANGES for i in range(1, RANGES)]
+    edges = store(inside.groupBy(*key).agg(F.array_distinct(F.percentile_approx("value", cuts, 100 * RANGES)).alias("edges")), "edges")
+    ranged = _inside(long, edges, group, ["low", "high", "edges"])
+    ranged = ranged.select(*key, "value", F.size(F.filter("edges", lambda e: e < F.col("value"))).alias("range"))
+    counted = store(ranged.groupBy(*key, "range").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("least"), F.max("value").alias("most")), "ranges")
+    upto = Window.partitionBy(*key).orderBy("range")  # RANGES rows at most
+    placed = counted.withColumn("end", F.sum("n").over(upto)).withColumn("start", F.col("end") - F.col("n"))
+    found = state.drop("n").join(placed, key).filter((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("end")))
+    return found.select(*group, "prob", "fraction", "upper", (F.col("rank") - F.col("start")).alias("rank"), F.col("least").alias("low"), F.col("most").alias("high"), "n")
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
     by: Sequence[str] = (),
-    accuracy: int = 20_000,
+    sort_rows: int = 200_000,
+    lower: bool = False,
 ) -> DataFrame:
     """Rows ``(*by, metric, prob, value)``: quantiles of the non-missing values.
 
-    Spark's own ``percentile`` keeps every distinct value of a group in one buffer. Here a
-    mergeable sketch first gives, per group and quantile, a narrow bracket that is certain to hold
-    the wanted ranks (the sketch's rank error is 1/accuracy, the bracket is twice as wide). A
-    second pass counts what lies below the bracket and keeps only the few values inside it; the
-    rows below collapse to one row per task before the shuffle.
+    Spark's own ``percentile`` keeps every distinct value of a group in one buffer. Here a wanted rank
+    is followed into ever smaller ranges of values: counts per range tell which one holds it, and only
+    a range of at most ``sort_rows`` values is put in order. A group that holds most rows so costs a
+    pass more for each factor of ``RANGES``, and no task gets more than ``sort_rows`` of its values.
+    ``lower``: the value at the rank rounded down, without interpolation.
     """
     by = list(by)
     group = [*by, "metric"]
@@ -38,40 +71,36 @@ def exact_quantiles(
         .unpivot(by, list(columns), "metric", "value")
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
     )
-    slack = 2 / accuracy
-    edges = [e for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack))]
-    sketch = F.percentile_approx("value", edges, accuracy)
-    bounds = long.groupBy(*group).agg(
-        F.count("*").alias("total"), sketch.alias("edges"), F.min("value").alias("least"), F.max("value").alias("most"))
-    small = F.col("total") < 2 * accuracy
-    slots = []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        # below two ranks per unit of sketch error the bracket is the whole (small) group
-        low = F.col("least") if p <= slack else F.when(small, F.col("least")).otherwise(F.col("edges")[2 * i])
-        high = F.col("most") if p >= 1 - slack else F.when(small, F.col("most")).otherwise(F.col("edges")[2 * i + 1])
-        slots.append(F.struct(
-            F.lit(float(p)).alias("prob"), low.alias("low"), high.alias("high"),
-            F.floor(position).alias("below"), F.ceil(position).alias("above"),
-            (position - F.floor(position)).alias("fraction")))
-    bounds = bounds.select(*group, F.array(*slots).alias("slots"))
-
-    inside = F.when(F.col("value") >= F.col("s.low"), F.col("value"))  # NULL: below the bracket
-    counted = (
-        attach(long, bounds, group, "inner")
-        .select(*group, "value", F.explode("slots").alias("s"))
-        .filter(F.col("value") <= F.col("s.high"))
-        .groupBy(*group, "s.prob", "s.below", "s.above", "s.fraction", inside.alias("value"))
-        .agg(F.count("*").alias("n"))
-    )
-    upto = Window.partitionBy(*group, "prob").orderBy(F.asc_nulls_first("value"))
-    placed = counted.withColumn("end", F.sum("n").over(upto)).withColumn("start", F.col("end") - F.col("n"))
-    at = lambda r: (F.col(r) >= F.col("start")) & (F.col(r) < F.col("end"))
-    # Every group and quantile comes back, so a rank outside its bracket is an error and not a lost row.
-    found = placed.groupBy(*group, "prob", "fraction").agg(
-        F.max(F.when(at("below"), F.col("value"))).alias("lo"), F.max(F.when(at("above"), F.col("value"))).alias("hi"))
-    value = F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("fraction")
-    return found.select(*group, "prob", F.when(value.isNull(), F.raise_error(F.lit("a quantile's rank lies outside its bracket")).cast("double")).otherwise(value).alias("value"))
+    totals = long.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    ranks = []
+    for p in probs:
+        position = F.lit(float(p)) * (F.col("n") - 1)
+        fraction = F.lit(0.0) if lower else position - F.floor(position)
+        for upper in ((False,) if lower else (False, True)):
+            rank = F.ceil(position) if upper else F.floor(position)
+            ranks.append(F.struct(F.lit(float(p)).alias("prob"), fraction.alias("fraction"), F.lit(upper).alias("upper"), rank.alias("rank")))
+    state = store(totals.select(*group, "low", "high", "n", F.explode(F.array(*ranks)).alias("r")).select(*group, "r.*", "low", "high", "n"), "ranks")
+    open_ = (F.col("low") < F.col("high")) & (F.col("n") > sort_rows)
+    while not state.filter(open_).isEmpty():
+        state = store(state.filter(~open_).unionByName(_narrowed(long, state.filter(open_), group)), "ranks")
+
+    # What is left lies in brackets of one value or of few enough values to be put in order.
+    key = [*group, "low", "high"]
+    wide = state.filter("low < high")
+    counted = _inside(long, wide.select(*key).distinct(), group, ["low", "high"]).groupBy(*key, "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy(*key).orderBy("value")
+    placed = counted.withColumn("end", F.sum("n").over(upto))
+    # Beside the ends of the values, from the last one back, a rank finds the value that reaches over it.
+    ends = placed.select(*key, F.col("end").cast("double").alias("at"), "value", F.lit(None).cast("double").alias("prob"), F.lit(None).cast("double").alias("fraction"), F.lit(None).cast("boolean").alias("upper"))
+    ranks = wide.select(*key, (F.col("rank") + 0.5).alias("at"), F.lit(None).cast("double").alias("value"), "prob", "fraction", "upper")
+    back = Window.partitionBy(*key).orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0)
+    found = ends.unionByName(ranks).withColumn("value", F.last("value", True).over(back)).filter("prob IS NOT NULL")
+    sorted_ = found.select(*group, "prob", "fraction", "upper", "value")
+    single = state.filter("low = high").select(*group, "prob", "fraction", "upper", F.col("low").alias("value"))
+    found = sorted_.unionByName(single).groupBy(*group, "prob", "fraction").agg(
+        F.max(F.when(~F.col("upper"), F.col("value"))).alias("lo"), F.max(F.when(F.col("upper"), F.col("value"))).alias("hi"))
+    value = F.col("lo") if lower else F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("fraction")
+    return found.select(*group, "prob", value.alias("value"))
 
 
 def quantile_columns(df: DataFrame, columns: Sequence[str], probs: dict[str, float], by: Sequence[str] = ()) -> DataFrame:

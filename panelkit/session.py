@@ -58,8 +58,12 @@ def owned_tables(spark: SparkSession):
     finally:
         _owners.remove(paths)
         for path in paths:
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+            delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -158,7 +158,7 @@ def test_risk_model_needs_rows(fact):
 def test_shapley_adds_up_to_the_prediction(fact, trained):
     model, _, features = trained
     shap = {(r.iso_code, r.year): r for r in explain.shapley_values(fact, model, features, ["iso_code", "year"]).collect()}
-    raw = {(r.iso_code, r.year): r.prediction for r in model.transform(risk_model._features(fact, features)).collect()}
+    raw = {(r.iso_code, r.year): r.prediction for r in model.predict(fact).collect()}
     for k, r in shap.items():
         assert r.base_value + sum(r[f"shap_{f}"] for f in features) == pytest.approx(raw[k], abs=1e-6)
 
@@ -166,23 +166,20 @@ def test_shapley_adds_up_to_the_prediction(fact, trained):
 def test_shapley_equals_the_definition(fact, trained):
     """Against the sum over all coalitions, with the tree walked once per coalition."""
     model, _, features = trained
-    trees, weights = explain.tree_nodes(fact.sparkSession, model)
     x = np.array(fact.select(*features).limit(3).collect(), dtype=float)
 
     def value(row, known):
-        def walk(nodes, at):
-            n = nodes[at]
-            if n["leftChild"] < 0:
-                return n["prediction"]
-            f = n["featureIndex"]
-            if f in known:
-                return walk(nodes, n["leftChild"] if row[f] <= n["leftCategoriesOrThreshold"][0] else n["rightChild"])
-            l, r = nodes[n["leftChild"]], nodes[n["rightChild"]]
-            return (l["rawCount"] * walk(nodes, n["leftChild"]) + r["rawCount"] * walk(nodes, n["rightChild"])) / n["rawCount"]
-        return sum(w * walk(t, 0) for t, w in zip(trees, weights))
+        def walk(nodes, n):
+            if n.feature < 0:
+                return n.value
+            left, right = nodes[n.left], nodes[n.right]
+            if n.feature in known:
+                return walk(nodes, left if row[n.feature] <= n.cut else right)
+            return (left.rows * walk(nodes, left) + right.rows * walk(nodes, right)) / n.rows
+        return model.base + sum(walk(t, t[0]) for t in model.trees)
 
     k = len(features)
-    leaves, base = explain.leaves_of(trees, weights)
+    leaves, base = explain.leaves_of(model)
     got = explain._attribute(x, leaves)
     for row, phi in zip(x, got):
         assert base == pytest.approx(value(row, set()))
@@ -280,6 +277,36 @@ def test_trend_of_a_straight_line(spark):
     assert got[2020] == pytest.approx(43.0) and got[2029] == pytest.approx(61.0)
 
 
+def kalman_likelihood(d, phi):
+    """-2 log likelihood of differences by the filter's recursion, the error variance taken out."""
+    state, variance, total, squares = 0.0, 1 / (1 - phi * phi), 0.0, 0.0
+    for x in d:
+        total += np.log(variance)
+        squares += (x - state) ** 2 / variance
+        state, variance = phi * x, 1.0
+    return total + len(d) * np.log(squares / len(d)), squares / len(d)
+
+
+@pytest.mark.parametrize("phi", [-0.6, 0.0, 0.3, 0.95])
+def test_differences_are_fitted_as_a_filter_fits_them(spark, phi):
+    rng = np.random.default_rng(int(100 * abs(phi)))
+    d = [rng.normal()]
+    for _ in range(24):
+        d.append(phi * d[-1] + rng.normal())
+    y = 100 + np.concatenate([[0], np.cumsum(d)])
+    df = spark.createDataFrame([("A", 2000 + i, float(v)) for i, v in enumerate(y)], "iso_code string, year int, co2 double")
+    grid = np.linspace(-0.9999, 0.9999, 40001)
+    best = min(grid, key=lambda p: kalman_likelihood(d, p)[0])
+    variance, level, step, spread, weights = kalman_likelihood(d, best)[1], y[-1], d[-1], 0.0, 0.0
+    for h, r in enumerate(sorted(forecast.difference_forecast(df).collect(), key=lambda r: r.year), 1):
+        step *= best
+        level += step
+        weights = 1 + best * weights  # what one error adds to the level h steps on
+        spread += weights * weights
+        assert r.arima_co2 == pytest.approx(max(level, 0), abs=0.02)
+        assert r.arima_upper - r.arima_co2 == pytest.approx(1.645 * np.sqrt(variance * spread), rel=2e-3)
+
+
 def test_constant_series(spark):
     df = spark.createDataFrame([("A", 2000 + i, 7.0) for i in range(20)], "iso_code string, year int, co2 double")
     assert {r.arima_co2 for r in forecast.difference_forecast(df).collect()} == {7.0}

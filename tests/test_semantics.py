@@ -99,20 +99,49 @@ def test_quartile(spark):
     assert quantiles.quantile_columns(df, ["v"], {"q": 0.25}).first()["q_v"] == 1.75
 
 
-@pytest.mark.parametrize("accuracy", [20, 200, 20000])
-def test_quantiles_equal_sorted_interpolation(spark, accuracy):
-    """Small accuracy forces narrow brackets that hold only part of the values; one group is hot."""
+@pytest.mark.parametrize("sort_rows", [20, 200, 20000])
+def test_quantiles_equal_sorted_interpolation(spark, sort_rows):
+    """Few rows to be sorted force passes over ever narrower ranges; one group is hot."""
     import numpy as np
     rng = np.random.default_rng(1)
     data = {"a": np.concatenate([rng.normal(size=3000), np.zeros(2000)]), "b": rng.exponential(size=37), "c": np.array([2.5])}
     df = spark.createDataFrame([(g, float(v)) for g, vs in data.items() for v in vs], "g string, v double")
     probs = [0.0, 0.05, 0.25, 0.5, 0.9, 1.0]
-    got = {(r.g, r.prob): r.value for r in quantiles.exact_quantiles(df, ["v"], probs, ["g"], accuracy).collect()}
+    got = {(r.g, r.prob): r.value for r in quantiles.exact_quantiles(df, ["v"], probs, ["g"], sort_rows).collect()}
     for g, vs in data.items():
         for p in probs:
             assert got[(g, p)] == pytest.approx(np.quantile(vs, p), abs=1e-12), (g, p)
 
 
+def test_quantiles_of_a_hot_group_sort_a_few_values_only(spark):
+    """The largest window holds no more values than allowed, whatever the group holds."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 50 == 0, "small").otherwise("hot").alias("g"), (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) / 7.0).alias("v"))
+    stored, kept = [], quantiles.store
+
+    def watch(table, name):
+        out = kept(table, name)
+        stored.append((name, out))
+        return out
+
+    quantiles.store = watch
+    try:
+        got = {(r.g, r.prob): r.value for r in quantiles.exact_quantiles(df, ["v"], [0.25, 0.5], ["g"], 500).collect()}
+    finally:
+        quantiles.store = kept
+    last = [t for name, t in stored if name == "ranks"][-1]
+    assert last.agg(F.max("n")).first()[0] <= 500 and len([n for n, _ in stored if n == "ranks"]) == 3
+    import numpy as np
+    rows = df.collect()
+    for (g, p), value in got.items():
+        assert value == np.quantile([r.v for r in rows if r.g == g], p)
+
+
+def test_lower_quantiles_are_values_of_the_column(spark):
+    df = spark.createDataFrame([(float(v),) for v in [5, 1, 4, 2, 3, 9]], "v double")
+    got = {r.prob: r.value for r in quantiles.exact_quantiles(df, ["v"], [0.0, 0.3, 0.5, 1.0], lower=True).collect()}
+    assert got == {0.0: 1.0, 0.3: 2.0, 0.5: 3.0, 1.0: 9.0}
+
+
 def test_dense_key_over_many_ranges(spark):
     names = [f"k{i * 7919 % 5000:05d}" for i in range(5000)]
     df = spark.createDataFrame([(n,) for n in names + names[:100]], "k string")
