@@ -76,11 +76,16 @@ class Ratio:
     log: np.ndarray
 
     def weights(self, column) -> np.ndarray:
-        out = np.zeros(len(column))
-        for doc, bucket in ngrams(column):
-            if len(doc):
-                out += np.bincount(doc, self.log[bucket], len(out))
-        return out
+        return weights_of(self.log, column)
+
+
+def weights_of(log: np.ndarray, column) -> np.ndarray:
+    """The sum of ``log`` over the n-grams of each text."""
+    out = np.zeros(len(column))
+    for doc, bucket in ngrams(column):
+        if len(doc):
+            out += np.bincount(doc, log[bucket], len(out))
+    return out
 
 
 def labelled_sample(labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", most: int = LABELLED) -> DataFrame:
@@ -130,11 +135,11 @@ def ratio_of(raw: np.ndarray, target: np.ndarray) -> Ratio:
 
 def weighed(docs: DataFrame, ratio: Ratio, name: str, text_col: str = "text") -> DataFrame:
     """``docs`` with the log weight as column ``name``; only the text goes to Python."""
-    sent = docs.sparkSession.sparkContext.broadcast(ratio)
+    sent = docs.sparkSession.sparkContext.broadcast(ratio.log)  # an array: executors have no copy of this package
 
     @F.arrow_udf("double")
     def weight(text: pa.Array) -> pa.Array:
-        return pa.array(sent.value.weights(text), pa.float64())
+        return pa.array(weights_of(sent.value, text), pa.float64())
 
     return docs.withColumn(name, weight(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))))
 

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelkit.llm.registry import query, table
-from panelkit.session import store
+from panelkit.session import scratch_path, store
 
 CANDIDATE = r"[A-Za-z0-9+/_=\-]{16,}"
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -119,13 +119,20 @@ def label_by_rule(found: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame, most: int = LABELLED) -> RandomForestClassificationModel | float:
-    """The forest, from at most ``most`` labelled findings (FEATURES and label); a number if all labels are equal."""
+    """The forest, from at most ``most`` labelled findings (FEATURES and label); a number if all labels are equal.
+
+    It is written to the shared folder and read back: a forest that was fitted in a session keeps hold of the
+    session, which cannot be sent to the tasks that score.
+    """
     drawn = store(labelled.orderBy(F.xxhash64("candidate", "before", "after"), "candidate", "doc_id").limit(most).select("label", *FEATURES), "findings")
     kinds = drawn.select("label").distinct().collect()
     if len(kinds) < 2:
         return kinds[0]["label"] if kinds else 0.0
     rows = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(drawn)
-    return RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=7).fit(rows)
+    fitted = RandomForestClassifier(featuresCol="vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=7).fit(rows)
+    path = scratch_path(labelled.sparkSession, "forest")
+    fitted.write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scored(found: DataFrame, model: RandomForestClassificationModel | float) -> DataFrame:

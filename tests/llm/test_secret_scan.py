@@ -47,6 +47,15 @@ def texts(n=400, seed=2):
     return rows
 
 
+def test_forest_scores_after_rows_were_observed(spark):
+    """A session that has counted rows while writing cannot be sent to tasks; the forest has to be free of it."""
+    from panelkit.session import store_counted
+
+    assert store_counted(spark.range(5), "observed")[1] == 5
+    docs = spark.createDataFrame([(i, t, "s") for i, t in texts(80)], "doc_id long, text string, source string")
+    assert {r.doc_id for r in secret_scan(docs).collect() if r.secret} == set(range(0, 80, 4))
+
+
 def test_forest_removes_words_and_keeps_keys(spark):
     docs = spark.createDataFrame([(i, t, "s") for i, t in texts()], "doc_id long, text string, source string")
     rows = secret_scan(docs).collect()
