@@ -32,6 +32,7 @@ MIN_LETTERS, MIN_COUNT, RATIO, NOISE = 6, 5, 5, 199
 KEY = 3  # letters at an end that near words share
 PART_WORDS = 4000  # words of one key in one index
 SHARD_ROWS = 8000
+SHARDS_A_TASK = 8
 STATES = 1 << 14  # that are expanded at once; bounds the temporary arrays
 STEP = 32  # ranks are stored at every so many places
 
@@ -252,6 +253,7 @@ def near_words(words: DataFrame) -> DataFrame:
     shards = int(max(least, 2 * words.count() // SHARD_ROWS))
     shard = F.pmod(F.xxhash64("key", "part"), F.lit(shards)).cast("int")
     dealt = dealt.select(shard.alias("shard"), "mirrored", "word", "n", (F.col("part") == own).alias("indexed"))
+    dealt = dealt.repartition(max(least, shards // SHARDS_A_TASK), "shard", "mirrored")  # few bytes, much work: not to be put together
     found = dealt.groupBy("shard", "mirrored").applyInArrow(near_in_shard, "word string, n_near long, best string, best_n long")
     first = F.min(F.struct((-F.col("best_n")).alias("order"), F.col("best"))).alias("first")
     return found.groupBy("word").agg(F.sum("n_near").alias("n_near"), first).select("word", "n_near", "first.best", (-F.col("first.order")).alias("best_n"))
