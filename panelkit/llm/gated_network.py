@@ -133,8 +133,7 @@ def gradient(w: dict[str, np.ndarray], tokens: np.ndarray, h: np.ndarray) -> tup
     The gradient stops at the window's beginning.
     """
     steps, lanes = tokens.shape
-    x = w["embed"][tokens]
-    gx = x @ w["wx"] + w["b"]
+    gx = (w["embed"] @ w["wx"] + w["b"])[tokens]  # fewer kinds of tokens than tokens
     kept, states = [], []
     for t in range(steps):
         states.append(h)
@@ -171,21 +170,30 @@ def gradient(w: dict[str, np.ndarray], tokens: np.ndarray, h: np.ndarray) -> tup
         dgh = np.concatenate([dz, dr, dn * r], 1)
         g["wh"] += before.T @ dgh
         dh = dh * z + dgh @ w["wh"].T + back[t]
-    flat_gx = dgx.reshape(-1, 3 * HIDDEN)
-    g["b"] = flat_gx.sum(0)
-    g["wx"] = x.reshape(-1, EMBED).T @ flat_gx
-    np.add.at(g["embed"], all_tokens, flat_gx @ w["wx"].T)
+    per_kind = sums_by(dgx.reshape(-1, 3 * HIDDEN), all_tokens, KNOWN + RARE)
+    g["b"] = per_kind.sum(0)
+    g["wx"] = w["embed"].T @ per_kind
+    g["embed"] = per_kind @ w["wx"].T
     n = len(all_tokens)
     return {k: (v / n).astype(np.float32) for k, v in g.items()}, h, loss / n
 
 
+def sums_by(rows: np.ndarray, kind: np.ndarray, kinds: int) -> np.ndarray:
+    """The sum of the rows of each kind."""
+    order = np.argsort(kind, kind="stable")
+    first = np.flatnonzero(np.diff(kind[order], prepend=-1))
+    out = np.zeros((kinds, rows.shape[1]), rows.dtype)
+    out[kind[order][first]] = np.add.reduceat(rows[order], first, axis=0)
+    return out
+
+
 class Trainer:
     """Adam over windows of parallel lanes; within a call of ``train`` the state is carried on.
 
     The few tokens that do not fill the lanes wait for the next call, the last ones for ``finish``.
     """
 
-    def __init__(self, weights: dict[str, np.ndarray], lanes: int = 64, window: int = 32, steps: int = 40, rate: float = 0.01):
+    def __init__(self, weights: dict[str, np.ndarray], lanes: int = 128, window: int = 32, steps: int = 40, rate: float = 0.01):
         self.weights, self.lanes, self.window, self.steps, self.rate = weights, lanes, window, steps, rate
         self.x = flat(weights)
         self.m, self.v, self.turn = np.zeros_like(self.x), np.zeros_like(self.x), 0

@@ -110,17 +110,30 @@ class Vocabulary:
             self.rare_tokens[k] -= c
             self.rare_words[k] -= 1
 
-    def of(self, hashes: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
-        known = self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
-        return np.where(known, self.slots[at] if len(self.hashes) else 0, net.KNOWN + kind.astype(np.int64))
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        """What tasks need of it, without the class: executors have no copy of this package."""
+        return self.hashes, self.slots, self.counts, self.rare_tokens, self.rare_words
 
     def share(self, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 of a token's share of its class, 0 for those with a slot. The words of a class that
-        training has not seen share one part, as in the base."""
-        kind = np.maximum(tokens - net.KNOWN, 0)
-        rest = np.log10(counts + 1.0) - np.log10(self.rare_tokens[kind] + self.rare_words[kind] + 1.0)
-        return np.where(tokens < net.KNOWN, 0.0, rest)
+        return share_of_class(tokens, counts, self.rare_tokens, self.rare_words)
+
+    def of(self, hashes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        return slots_of(hashes, kind, self.hashes, self.slots)
+
+
+def slots_of(hashes: np.ndarray, kind: np.ndarray, known: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The slot of each word that has one; of others their class, behind the slots."""
+    at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+    found = known[at] == hashes if len(known) else np.zeros(len(hashes), bool)
+    return np.where(found, slots[at] if len(known) else 0, net.KNOWN + kind.astype(np.int64))
+
+
+def share_of_class(tokens: np.ndarray, counts: np.ndarray, rare_tokens: np.ndarray, rare_words: np.ndarray) -> np.ndarray:
+    """log10 of a token's share of its class, 0 for those with a slot. The words of a class that
+    training has not seen share one part, as in the base."""
+    kind = np.maximum(tokens - net.KNOWN, 0)
+    rest = np.log10(counts + 1.0) - np.log10(rare_tokens[kind] + rare_words[kind] + 1.0)
+    return np.where(tokens < net.KNOWN, 0.0, rest)
 
 
 def with_ends(values: np.ndarray, first: np.ndarray, end) -> np.ndarray:
@@ -139,7 +152,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int, id_col: str, tex
     spark = docs.sparkSession
     weights = net.begin(vocabulary.counts, vocabulary.rare_tokens)
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    words = spark.sparkContext.broadcast(vocabulary)
+    words = spark.sparkContext.broadcast(vocabulary.arrays()[:2])
     for turn in range(rounds):
         sent = spark.sparkContext.broadcast(net.flat(weights))
 
@@ -149,7 +162,7 @@ def train(docs: DataFrame, vocabulary: Vocabulary, rounds: int, id_col: str, tex
                 for low in range(0, len(batch), 512):  # bounds the memory
                     part = pa.Table.from_batches([batch.slice(low, 512)])
                     found = words_of(part["text"], BLANK_WORDS, True)
-                    tokens = with_ends(words.value.of(found.hash, rare_class(part["text"], found)), found.first, net.END)
+                    tokens = with_ends(slots_of(found.hash, rare_class(part["text"], found), *words.value), found.first, net.END)
                     trainer.train(tokens)
                     n += len(tokens)
             trainer.finish()
@@ -187,24 +200,25 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", r
     ends = marked.filter(~F.col("held_out")).count()
     vocabulary = Vocabulary(top, classes, ends)
     weights = train(docs, vocabulary, rounds, id_col, text_col)
-    known = spark.sparkContext.broadcast((vocabulary, net.flat(weights)))
+    known = spark.sparkContext.broadcast((vocabulary.arrays(), net.flat(weights)))
+    all_tokens, all_words = vocabulary.tokens, vocabulary.words
 
     def scored(rows, told):
-        vocab, w = known.value
+        (top_hashes, top_slots, top_counts, rare_tokens, rare_words), w = known.value
         words, entry, hashes, kind, _, _ = _entries(rows, buckets)
         count = exchange.joined(told, np.uint32).astype(np.float64)
-        slot = vocab.of(hashes, kind)
+        slot = slots_of(hashes, kind, top_hashes, top_slots)
         size = np.diff(words.first)
         tokens = with_ends(slot[entry], words.first, net.END)
         first = words.first + np.arange(len(words.first))
         by_doc = lambda x: np.bincount(words.doc, x, len(size)) if len(x) else np.zeros(len(size))
         score = np.bincount(np.repeat(np.arange(len(size)), size + 1), net.score_documents(net.unflat(w), tokens, first).astype(float), len(size)) / np.log(10)
-        score += by_doc(vocab.share(slot, count)[entry])
-        base = by_doc(np.log10(count + 1)[entry]) + np.log10(vocab.counts[0] + 1) - (size + 1) * np.log10(vocab.tokens + vocab.words + 1)
+        score += by_doc(share_of_class(slot, count, rare_tokens, rare_words)[entry])
+        base = by_doc(np.log10(count + 1)[entry]) + np.log10(top_counts[0] + 1) - (size + 1) * np.log10(all_tokens + all_words + 1)
         return pa.table({
             "doc_id": exchange.ids_of(rows), "held_out": pa.array(flatten(rows["carried"])), "n_tokens": pa.array(size + 1, pa.int64()),
-            "n_known": pa.array(by_doc((count > 0)[entry].astype(float)).astype(np.int64) + int(vocab.counts[0] > 0)),
-            "train_tokens": pa.array(np.full(len(size), vocab.tokens), pa.int64()), "base_score": pa.array(base), "score": pa.array(score),
+            "n_known": pa.array(by_doc((count > 0)[entry].astype(float)).astype(np.int64) + int(top_counts[0] > 0)),
+            "train_tokens": pa.array(np.full(len(size), all_tokens), pa.int64()), "base_score": pa.array(base), "score": pa.array(score),
         })
 
     return exchange.conclude(blocks, counted.filter("block >= 0"), scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
