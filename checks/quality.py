@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from checks.panel import lines, table
 from checks.registry import query
 from panelkit.operators import quality as q
+from panelkit.session import scratch_path
+from panelkit.sources.readers import path_exists
 
 
 def _orders_text(spark, sf):
@@ -27,9 +29,17 @@ def quality_row_count(spark, sf):
     return q.run_suite(table(spark, sf, "orders"), "orders", [q.row_count(1000)])
 
 
-@query("quality_schema", """
-SELECT 'lineitem' AS dataset, 'schema_check' AS "check", true AS passed, 'WARNING' AS severity, 'All 2 required columns present, 8 extra' AS details WHERE (SELECT count(*) FROM lineitem) > 0
-UNION ALL SELECT 'lineitem', 'schema_check', false, 'CRITICAL', 'Missing required columns: [''l_color'']'""")
+SCHEMA_SQL = """
+WITH columns_ AS (SELECT column_name AS c FROM (DESCRIBE lineitem)),
+required AS (SELECT * FROM (VALUES (1, 'l_orderkey'), (1, 'l_partkey'), (2, 'l_orderkey'), (2, 'l_color')) t(suite, c)),
+optional AS (SELECT * FROM (VALUES (1, 'l_tax')) t(suite, c)),
+judged AS (SELECT suite, count(*) AS k, string_agg(chr(39) || c || chr(39), ', ' ORDER BY c) FILTER (WHERE c NOT IN (SELECT c FROM columns_)) AS missing,
+  (SELECT count(*) FROM columns_ x WHERE x.c NOT IN (SELECT c FROM required r WHERE r.suite = q.suite) AND x.c NOT IN (SELECT c FROM optional o WHERE o.suite = q.suite)) AS extra FROM required q GROUP BY suite)
+SELECT 'lineitem' AS dataset, 'schema_check' AS "check", missing IS NULL AS passed, CASE WHEN missing IS NULL THEN 'WARNING' ELSE 'CRITICAL' END AS severity,
+  CASE WHEN missing IS NULL THEN printf('All %d required columns present, %d extra', k, extra) ELSE 'Missing required columns: [' || missing || ']' END AS details FROM judged"""
+
+
+@query("quality_schema", SCHEMA_SQL)
 def quality_schema(spark, sf):
     return q.run_suite(table(spark, sf, "lineitem"), "lineitem", [
         q.schema(["l_orderkey", "l_partkey"], ["l_tax"]), q.schema(["l_orderkey", "l_color"])])
@@ -121,13 +131,14 @@ def quality_report_summary(spark, sf):
 
 
 @query("quality_source_present", """
-SELECT name AS dataset, 'source_present' AS "check", found AS passed, CASE WHEN found THEN 'INFO' ELSE 'CRITICAL' END AS severity,
-  CASE WHEN found THEN 'source found' ELSE 'source not found' END AS details
-FROM (VALUES ('orders', true), ('refunds', false)) t(name, found) WHERE (SELECT count(*) FROM orders) > 0""")
+SELECT 'orders_' || s AS dataset, 'source_present' AS "check", n > 0 AS passed, CASE WHEN n > 0 THEN 'INFO' ELSE 'CRITICAL' END AS severity,
+  CASE WHEN n > 0 THEN 'source found' ELSE 'source not found' END AS details
+FROM (SELECT s, count(o_orderkey) AS n FROM (VALUES ('F'), ('O'), ('P'), ('X')) t(s) LEFT JOIN orders ON o_orderstatus = s GROUP BY s)""")
 def quality_source_present(spark, sf):
-    from panelkit.sources.readers import path_exists
-    reports = [q.source_report(spark, n, path_exists(spark, f"{sf}/{n}.parquet")) for n in ("orders", "refunds")]
-    return q.combine(reports).drop("timestamp")
+    """A source per order status, written where there are such orders: found or not."""
+    base = scratch_path(spark, "sources")
+    table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status")).write.partitionBy("status").parquet(base)
+    return q.combine([q.source_report(spark, f"orders_{s}", path_exists(spark, f"{base}/status={s}")) for s in "FOPX"]).drop("timestamp")
 
 
 SUITES_SQL = """
@@ -141,12 +152,14 @@ iqr AS (SELECT count(*) FILTER (WHERE pc < lo OR pc > hi) AS out, CAST(count(*)
 n AS (SELECT count(DISTINCT year) AS n, max(year) AS y, count(DISTINCT year) FILTER (WHERE year < 1880 OR year > 2030) AS off FROM li),
 w AS (SELECT count(*) AS n FROM li), s AS (SELECT count(*) AS n FROM supplier),
 counts AS (SELECT 'OWID' AS dataset, n, 1000 AS need FROM o UNION ALL SELECT 'NASA', n, 50 FROM n UNION ALL SELECT 'INDICATOR', n, 500 FROM w UNION ALL SELECT 'NDGAIN', n, 100 FROM s),
-fresh AS (SELECT 'OWID' AS dataset, y FROM o UNION ALL SELECT 'NASA', y FROM n)
+fresh AS (SELECT 'OWID' AS dataset, y FROM o UNION ALL SELECT 'NASA', y FROM n),
+rates AS (SELECT 'OWID' AS dataset, unnest(['country', 'year', 'co2']) AS c, unnest([1 - count(l_suppkey)::DOUBLE / count(*), 1 - count(year)::DOUBLE / count(*), 1 - count(cents)::DOUBLE / count(*)]) AS r FROM owid
+  UNION ALL SELECT 'INDICATOR', unnest(['REF_AREA', 'TIME_PERIOD', 'OBS_VALUE']), unnest([1 - count(l_suppkey)::DOUBLE / count(*), 1 - count(year)::DOUBLE / count(*), 1 - count(disc)::DOUBLE / count(*)]) FROM li),
+twice AS (SELECT coalesce(sum(k), 0)::BIGINT AS d FROM (SELECT count(*) AS k FROM owid GROUP BY l_suppkey, year) WHERE k > 1)
 SELECT dataset, 'row_count' AS "check", n >= need AS passed, CASE WHEN n >= need THEN 'INFO' ELSE 'CRITICAL' END AS severity, format('{:,} rows (minimum: {:,})', n, need) AS details FROM counts
 UNION ALL SELECT dataset, 'schema_check', true, 'WARNING', printf('All %d required columns present, 0 extra', k) FROM (VALUES ('OWID', 5), ('NASA', 2), ('INDICATOR', 3), ('NDGAIN', 2)) t(dataset, k)
-UNION ALL SELECT dataset, 'null_rate[' || c || ']', true, 'WARNING', '0.0% null (threshold: 30%)'
- FROM (VALUES ('OWID', 'country'), ('OWID', 'year'), ('OWID', 'co2'), ('INDICATOR', 'REF_AREA'), ('INDICATOR', 'TIME_PERIOD'), ('INDICATOR', 'OBS_VALUE')) t(dataset, c)
-UNION ALL SELECT 'OWID', 'duplicate_check', true, 'WARNING', '0 duplicate rows on [''country'', ''year'']'
+UNION ALL SELECT dataset, 'null_rate[' || c || ']', r <= 0.3, CASE WHEN r <= 0.8 THEN 'WARNING' ELSE 'CRITICAL' END, printf('%.1f%% null (threshold: 30%%)', r * 100) FROM rates
+UNION ALL SELECT 'OWID', 'duplicate_check', d = 0, CASE WHEN d < 100 THEN 'WARNING' ELSE 'CRITICAL' END, printf('%d duplicate rows on [''country'', ''year'']', d) FROM twice
 UNION ALL SELECT dataset, 'freshness_check', y >= 2020, CASE WHEN y >= 2020 THEN 'INFO' ELSE 'WARNING' END, printf('Latest year: %d (expected >= 2020)', y) FROM fresh
 UNION ALL SELECT 'OWID', 'range_check[year]', off = 0, 'WARNING', printf('%d values outside [1750, 2030]', off) FROM o
 UNION ALL SELECT 'OWID', 'range_check[co2]', neg = 0, 'WARNING', printf('%d values outside [0, None]', neg) FROM o

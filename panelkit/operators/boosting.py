@@ -205,7 +205,7 @@ def _count_in_spark(shares: DataFrame, k: int, cuts: list[list[float]]) -> Count
         def run(batches):
             for batch in batches:
                 for share in Share.of_rows(batch, k):
-                    at = leaves_of_rows(share.x, nodes, cuts, _steps(len(nodes)))
+                    at = leaves_of_rows(share.x, nodes, cuts, _depth(nodes))
                     own = histogram(share.x, slot_of[at], share.margin - share.label, slots, bins).ravel()
                     yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in np.array_split(own, SLICES)], pa.binary())], ["slice", "part"])
 
@@ -220,9 +220,13 @@ def _count_in_spark(shares: DataFrame, k: int, cuts: list[list[float]]) -> Count
     return count
 
 
-def _steps(nodes: int) -> int:
-    """A bound on the depth of a tree of so many nodes."""
-    return (nodes - 1) // 2
+def _depth(nodes: Sequence[Sequence]) -> int:
+    """Children stand behind their parents."""
+    depth = [0] * len(nodes)
+    for at, node in enumerate(nodes):
+        if node[0] >= 0:
+            depth[node[2]] = depth[node[3]] = depth[at] + 1
+    return max(depth)
 
 
 def _grow_in_spark(shares: DataFrame, path: str, k: int, cuts: list[list[float]], trees: int, depth: int, rate: float, l2: float, min_rows: float) -> list[list[Node]]:
@@ -238,7 +242,7 @@ def _grow_in_spark(shares: DataFrame, path: str, k: int, cuts: list[list[float]]
             for batch in batches:
                 moved = []
                 for share in Share.of_rows(batch, k):
-                    share.margin = share.margin + value[leaves_of_rows(share.x, nodes, cuts, _steps(len(nodes)))]
+                    share.margin = share.margin + value[leaves_of_rows(share.x, nodes, cuts, _depth(nodes))]
                     moved.append(share.to_row())
                 yield pa.RecordBatch.from_pylist(moved, schema=_SHARES)
 
