@@ -137,7 +137,7 @@ def _first_seen(payloads: list[bytes], leading: int, similarity: float) -> list[
     return [x.tobytes() for x in np.split(out, np.cumsum(count)[:-1])]
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leading: int = LEADING, similarity: float = SIMILARITY, min_tokens: int = MIN_TOKENS, carry: Sequence[str] = ()) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", leading: int = LEADING, similarity: float = SIMILARITY, min_tokens: int = 1, carry: Sequence[str] = ()) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_lines, n_dropped, kept (the remaining lines), and the columns
     named in ``carry``.
 
@@ -145,7 +145,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     template the lines of its first document stay. Repeats within one document stay. Lines end at line
     feeds, tokens are split at blanks; lines of fewer than ``min_tokens`` tokens are left alone, and of the
     others those of fewer than MIN_TOKENS (or ``leading``, if more) recur only as they are. Null and
-    empty texts have no lines. Rows without an id count as before all others; rows with one id are one
+    empty texts have no lines; long texts are taken whole. Rows without an id count as before all others; rows with one id are one
     document in this comparison. Other columns are not read.
     """
     blocks = exchange.in_blocks(docs, id_col, text_col, carry=carry)
@@ -195,5 +195,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 @query("op10_line_dedup")
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup(table(spark, sf_dir, "documents"), min_tokens=1)
+    out = line_dedup(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))

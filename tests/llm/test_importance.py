@@ -101,3 +101,26 @@ def test_best_limit():
     assert best_limit(np.array([-9.0, -8, 1, 2]), np.array([False, False, True, True])) == -3.5
     assert best_limit(np.array([1.0, 2]), np.array([True, True])) == -np.inf
     assert best_limit(np.array([-1.0, 3, 2]), np.array([False, True, True])) == 0.5
+
+
+def test_log_weight_is_the_ratio_of_counted_models(spark, hard_docs):
+    """From counts of every bucket, taken one by one."""
+    rows = [(i, t) for i, t in plain(hard_docs) if i is not None and i < 60]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 3) for i, _ in rows[:30]], "doc_id long, quality int")
+    good = {i for i, _ in rows[:30] if i % 3 == 1}
+    of = {}
+    for i, text in rows:
+        found = [b for _, buckets in ngrams(pa.array([text])) for b in buckets.tolist()]
+        of.setdefault(i, []).append(found)
+    raw = np.bincount([b for lists in of.values() for found in lists for b in found], minlength=module.BUCKETS).astype(float)
+    target = np.bincount([b for i in good for found in of[i] for b in found], minlength=module.BUCKETS).astype(float)
+    expected = target.sum() * raw / raw.sum()
+    tilt = (target + module.SMOOTHING) / (expected + module.SMOOTHING)
+    scale = (raw / raw.sum() * tilt).sum()  # so that the target's shares add up to one
+    log = [np.log(t / scale) for t in tilt]
+    got = {}
+    for r in quality_resample(docs, labels).collect():
+        got.setdefault(r.doc_id, []).append(r.log_weight)
+    for i, lists in of.items():
+        assert np.allclose(sorted(got[i]), sorted(sum(log[b] for b in found) for found in lists), atol=1e-9)

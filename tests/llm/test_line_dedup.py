@@ -56,13 +56,13 @@ def boilerplate(seed=11):
 
 def test_templates_as_brute_force(spark):
     frame = spark.createDataFrame([(i, t, None, None, None, None) for i, t in boilerplate()], SCHEMA).repartition(3)
-    got = sorted([tuple(r) for r in line_dedup(frame).collect()], key=str)
+    got = sorted([tuple(r) for r in line_dedup(frame, min_tokens=5).collect()], key=str)
     assert got == brute(boilerplate())
     assert sum("posted on" in r[3] for r in got) <= 4 and 30 < sum(r[2] for r in got) < 140
 
 
 def test_hard_cases_as_brute_force(hard_docs):
-    got = sorted([tuple(r) for r in line_dedup(hard_docs, similarity=1.0).collect()], key=str)
+    got = sorted([tuple(r) for r in line_dedup(hard_docs, similarity=1.0, min_tokens=5).collect()], key=str)
     assert got == brute(plain(hard_docs), similarity=1.0)
     assert sum(r[2] for r in got) >= 10
 
@@ -76,7 +76,7 @@ def test_carried_columns(hard_docs, no_docs):
 def test_short_lines_recur_as_they_are(spark):
     texts = ["All rights reserved.\nPage 1 of 9\nyes", "All rights  reserved.\nPage 2 of 9\n\nAll rights reserved", "Page 1 of 9\nno", "7\nyes", "8\nyes no"]
     frame = spark.createDataFrame([(i, t, None, None, None, None) for i, t in enumerate(texts)], SCHEMA).repartition(3)
-    got = {r.doc_id: r.kept for r in line_dedup(frame, min_tokens=1).collect()}
+    got = {r.doc_id: r.kept for r in line_dedup(frame).collect()}
     assert got == {0: texts[0], 1: "Page 2 of 9\n\nAll rights reserved", 2: "no", 3: "7", 4: "8\nyes no"}
 
 
@@ -94,7 +94,7 @@ def test_every_length_as_brute_force(hard_docs):
     rows = plain(hard_docs)
     *lines, first = first_seen(rows)
     want = sorted(str((doc, line)) for doc, line, tokens in lines if not tokens or first[tokens] >= (float("-inf") if doc is None else doc))
-    got = line_dedup(hard_docs, similarity=1.0, min_tokens=1).collect()
+    got = line_dedup(hard_docs, similarity=1.0).collect()
     # What loses all its lines is empty, like what had one empty line.
     got = sorted(str((r.doc_id, line)) for r in got if r.n_dropped < r.n_lines or not r.n_lines for line in r.kept.split("\n"))
     assert got == want

@@ -115,3 +115,51 @@ def test_trainer_leaves_no_token_out(weights, monkeypatch):
         trainer.train(part)
     trainer.finish()
     assert sorted(seen) == sorted(tokens.tolist())
+
+
+def test_score_of_known_weights_is_that_of_a_plain_network(spark, monkeypatch, weights):
+    """Token by token in double precision, with slots, classes and shares worked out anew."""
+    from panelkit.llm import lm_scoring
+    from panelkit.llm.words import BLANK_WORDS, words_of
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm_scoring, "train", lambda *_: weights)
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(["aa", "bb", "cc", "Dd", "ee7", "é"], rng.integers(0, 30))) for _ in range(40)] + ["unseen words aa", None]
+    ids = list(range(40)) + [next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 7 == 2), 300]
+    out = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in ids}
+    hash_of = lambda t: int(words_of(pa.array([t.decode()]), BLANK_WORDS, True).hash[0])
+    counts = Counter(t for i, text in zip(ids, texts) if not out[i] for t in tokens_of(text) if t)
+    order = sorted(counts, key=lambda t: (-counts[t], int(np.uint64(hash_of(t)).view(np.int64))))
+    slot = {None: net.END, **{t: k + 1 for k, t in enumerate(order)}}
+    w = {k: v.astype(float) for k, v in weights.items()}
+
+    def softmax(x):
+        x = np.exp(x - x.max())
+        return x / x.sum()
+
+    def probability(text):
+        total, h = 0.0, np.zeros(net.HIDDEN)
+        for t in tokens_of(text):
+            p = softmax(h @ w["wc"] + w["bc"])
+            if t in slot:
+                s = slot[t]
+                total += np.log10(p[s // net.SLOTS] * softmax(h @ w["ww"][s // net.SLOTS] + w["bw"][s // net.SLOTS])[s % net.SLOTS])
+            else:  # all words of training have slots, so its class has no other share to give away
+                kind = int(rare(t))
+                s = net.KNOWN + kind
+                total += np.log10(p[net.FREQUENT + kind])
+            gate, state = w["embed"][s] @ w["wx"] + w["b"], h @ w["wh"]
+            z, r = (1 / (1 + np.exp(-(gate[:2 * net.HIDDEN] + state[:2 * net.HIDDEN])))).reshape(2, -1)
+            n = np.tanh(gate[2 * net.HIDDEN:] + r * state[2 * net.HIDDEN:])
+            h = n + z * (h - n)
+        return total
+
+    def rare(t):
+        column = pa.chunked_array([pa.array([t.decode()])])
+        return lm_scoring.rare_class(column, words_of(column, BLANK_WORDS, True))[0]
+
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in lm_scores(docs, rounds=1).collect()}
+    for i, text in zip(ids, texts):
+        assert isclose(got[i], probability(text), rel_tol=1e-4, abs_tol=1e-4), (i, text)
