@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from panelkit.llm.decontamination import decontaminate
 from panelkit.llm.importance import keep_selected
 from panelkit.llm.jaccard_join import jaccard_join
-from panelkit.llm.line_dedup import MIN_TOKENS, line_dedup
+from panelkit.llm.line_dedup import line_dedup
 from panelkit.llm.packing import pack_documents, tokenizer_path
 from panelkit.llm.registry import query, table
 from panelkit.session import store
@@ -28,14 +28,19 @@ def row_key() -> Column:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by importance resampling towards those labelled good; the others go."""
+    """Documents drawn by importance resampling towards those labelled good; the others go.
+
+    Null and empty texts weigh 0 and are drawn by their noise alone; repeated rows go or stay together; an empty
+    table stays empty; long texts are taken whole.
+    """
     return keep_selected(docs, table(spark, sf_dir, "labels"))
 
 
-def lines(spark: SparkSession, docs: DataFrame, sf_dir: str, min_tokens: int = MIN_TOKENS) -> DataFrame:
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str, min_tokens: int = 1) -> DataFrame:
     """Lines whose template an earlier document has go, and with them documents that lose all they had.
 
-    Null texts become empty ones; n_chars counts what is left.
+    Lines of every length are taken, so that of a later copy nothing is left. Null texts become empty ones;
+    n_chars counts what is left.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
     out = line_dedup(docs, min_tokens=min_tokens, carry=others)
@@ -45,11 +50,6 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str, min_tokens: int = M
     return out.select(docs.columns)
 
 
-def every_line(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``lines`` of every length, so that of a later copy nothing is left."""
-    return lines(spark, docs, sf_dir, min_tokens=1)
-
-
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles (similarity 0.8 or more) the smallest id stays."""
     marked = docs.withColumn(ROW, row_key())
@@ -64,18 +64,20 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with any window of a benchmark item go."""
+    """Documents with any window of a benchmark item go. Null and empty texts and repeated rows have none or the
+    same; an empty table stays empty; long texts are taken whole."""
     marked = docs.withColumn(ROW, row_key())
     found = decontaminate(marked, table(spark, sf_dir, "benchmark"), id_col=ROW)
     return marked.join(found.filter("contaminated").select(F.col("doc_id").alias(ROW)).distinct(), ROW, "left_anti").select(docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents and their places in training sequences."""
+    """Pieces of the documents and their places in training sequences. A null or empty text is its end token;
+    repeated rows are packed each; an empty table gives no pieces; long texts are cut into pieces."""
     return pack_documents(docs, tokenizer_path())
 
 
-STAGES = [("quality", quality), ("line_dedup", every_line), ("near_duplicates", near_duplicates), ("decontamination", benchmark), ("packing", packing)]
+STAGES = [("quality", quality), ("line_dedup", lines), ("near_duplicates", near_duplicates), ("decontamination", benchmark), ("packing", packing)]
 ORACLE_SQL = None
 
 
