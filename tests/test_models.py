@@ -330,3 +330,13 @@ for name in ("anomaly_isolation_forest", "explain_shapley", "cluster_silhouette"
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+@pytest.mark.parametrize("r2, better", [(0.42, True), (0.01, True), (1.0, True), (0.0, False), (1e-14, False), (-0.2, False)])
+def test_fit_is_better_than_the_mean_above_zero(spark, monkeypatch, r2, better):
+    """R2 of 0 is what the mean reaches; a weak fit of noisy rows still lies above."""
+    from checks import models
+    told = spark.createDataFrame([(200, 5, 0.1, "a", 500, r2)], "trees int, depth int, rate double, features string, train_rows long, train_r2 double")
+    monkeypatch.setattr(models, "stored_fact", lambda *_: None)
+    monkeypatch.setattr(models.risk_model, "train", lambda _: (None, told, ["a"]))
+    assert models.risk_model_fit(spark, "").first().better_than_mean is better
