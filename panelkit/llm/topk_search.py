@@ -1,11 +1,13 @@
 """Exact BM25 top-k search with block-max pruning.
 
 The index is a stored table of shards. In a shard documents with the same most frequent word stand
-together, and each term's postings are cut into blocks of neighbouring documents with the largest
-impact in each. A query first adds up these maxima, which bounds the score of every block of
-documents; blocks are then scored from the highest bound down, in halves, until no bound reaches the
-k-th best score the task has seen. Statistics are those of all shards, so the shards' best lists merge
-exactly. Queries are taken in blocks of bounded size.
+together and are cut into blocks of neighbours. Queries meet a shard many at a time. Postings of all
+but the shard's most frequent terms are added up first. The frequent terms, which hold most of the
+postings, have the largest impact of each block: these bound a query's scores in a block. The blocks
+with a query's highest bounds are scored in full, and of the others those whose bound reaches the k-th
+best score the task has seen. Bounds and scores of the frequent terms are products of matrices.
+Statistics are those of all shards, so the shards' best lists merge exactly. Queries are taken in
+blocks of bounded size.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ K1, B = 1.2, 0.75
 SHARD_BYTES = 8 << 20  # of text in a shard, a single longer document apart
 BLOCK_DOCS = 64
 BLOCK_TERMS = 1_000_000  # (query, term) pairs searched for at once, which bounds what tasks are sent
+FREQUENT = 512  # terms of a shard that are multiplied as a matrix
+QUERIES, POSTINGS = 128, 1 << 18  # at once: queries, and postings of their other terms
+CELLS = 1 << 22  # of a shard's tables of documents by terms and by queries
+LEAD = 8  # one block in so many is scored first
 DIGITS = 6  # of scores; ties go to the smaller id
 SHARD = "ids binary, known binary, lengths binary, terms binary, edges binary, docs binary, counts binary"
 
@@ -75,48 +81,75 @@ class Shard:
         """Impacts of all postings, and per term the blocks' bounds."""
         room = K1 * (1 - B + B * self.lengths / max(average, 1e-9))
         self.impact = self.counts * (K1 + 1) / (self.counts + room[self.docs])
-        block = self.docs // BLOCK_DOCS
-        term = np.repeat(np.arange(len(self.terms)), np.diff(self.edges))
-        fresh = np.ones(len(block), bool)
-        fresh[1:] = (np.diff(block) != 0) | (np.diff(term) != 0)
-        self.block_start = np.flatnonzero(fresh)
-        self.block_end = np.append(self.block_start[1:], len(block))
-        self.block_of = block[self.block_start]
-        self.block_max = np.maximum.reduceat(self.impact, self.block_start) if len(block) else np.zeros(0)
-        self.block_edges = np.searchsorted(self.block_start, self.edges)
-        self.n_blocks = -(-len(self.ids) // BLOCK_DOCS)
+        # The most frequent terms' impacts stand in a table of documents and terms, the largest of a block in another.
+        often = np.argsort(-np.diff(self.edges), kind="stable")[:min(FREQUENT, max(1, CELLS // len(self.ids)))]
+        self.column = np.full(len(self.terms), -1)
+        self.column[often] = np.arange(len(often))
+        column = np.repeat(self.column, np.diff(self.edges))
+        own = np.flatnonzero(column >= 0)
+        self.table = np.zeros((len(self.ids), len(often)))
+        self.table[self.docs[own], column[own]] = self.impact[own]
+        self.block_first = np.append(np.arange(0, len(self.ids), BLOCK_DOCS), len(self.ids))
+        self.block_max = np.maximum.reduceat(self.table, self.block_first[:-1], axis=0)
 
     def search(self, at: np.ndarray, weight: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
         """Places and scores of the k best documents with a score of ``floor`` at least, for weighted terms."""
-        low, high = self.block_edges[at], self.block_edges[at + 1]
-        entry = between(low, high)
-        entry_weight = np.repeat(weight, high - low)
-        bound = np.bincount(self.block_of[entry], self.block_max[entry] * entry_weight, self.n_blocks)
-        todo = np.flatnonzero(bound > 0)
-        todo = todo[np.argsort(-bound[todo], kind="stable")]
-        best, score = np.zeros(0, np.int64), np.zeros(0)
-        while len(todo):
-            todo = todo[bound[todo] + 10.0**-DIGITS >= floor]
-            part, todo = todo[:(len(todo) + 1) // 2], todo[(len(todo) + 1) // 2:]
-            chosen = np.zeros(self.n_blocks, bool)
-            chosen[part] = True
-            picked = chosen[self.block_of[entry]]
-            size = (self.block_end - self.block_start)[entry[picked]]
-            posting = between(self.block_start[entry[picked]], self.block_end[entry[picked]])
-            total = np.bincount(self.docs[posting], self.impact[posting] * np.repeat(entry_weight[picked], size), len(self.ids))
-            docs = np.flatnonzero(total > 0)
-            best, score = self.top(np.concatenate([best, docs]), np.concatenate([score, np.round(total[docs], DIGITS)]), k)
-            if len(best) == k:
-                floor = max(floor, float(score[-1]))
-        keep = score >= floor
-        return best[keep], score[keep]
-
-    def top(self, docs: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(docs) > 4 * k:
-            least = np.partition(score, len(score) - k)[len(score) - k]
-            docs, score = docs[score >= least], score[score >= least]
-        order = np.lexsort((self.ids[docs], -score))[:k]
-        return docs[order], score[order]
+        return self.search_all(np.array([0, len(at)]), at, weight, k, np.array([floor]))[1:]
+
+    def search_all(self, first: np.ndarray, at: np.ndarray, weight: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Query, place and score of each query's k best documents with a score of its ``floor`` at least.
+        Query q has the weighted terms first[q]:first[q + 1]."""
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        size = np.where(self.column[at] < 0, np.diff(self.edges)[at], 0)
+        postings = np.append(0, np.cumsum(size))[first]
+        most, low = max(1, min(QUERIES, CELLS // len(self.ids))), 0
+        while low < len(floor):  # queries at once, which bounds the memory
+            high = int(np.searchsorted(postings, postings[low] + POSTINGS, "right")) - 1
+            high = min(max(high, low + 1), low + most, len(floor))
+            own = slice(first[low], first[high])
+            query, docs, score = self.search_some(first[low:high + 1] - first[low], at[own], weight[own], k, floor[low:high])
+            found.append((query + low, docs, score))
+            low = high
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def search_some(self, first: np.ndarray, at: np.ndarray, weight: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n, n_queries = len(self.ids), len(floor)
+        query = np.repeat(np.arange(n_queries), np.diff(first))
+        often = self.column[at] >= 0
+        dense = np.zeros((n_queries, self.table.shape[1]))
+        dense[query[often], self.column[at[often]]] = weight[often]
+        query, at, weight = query[~often], at[~often], weight[~often]
+        low, high = self.edges[at].astype(np.int64), self.edges[at + 1].astype(np.int64)
+        posting = between(low, high)
+        spot = np.repeat(query * n, high - low) + self.docs[posting]
+        part = np.bincount(spot, self.impact[posting] * np.repeat(weight, high - low), n_queries * n).astype(float, copy=False).reshape(n_queries, n)
+        bound = dense @ self.block_max.T + np.maximum.reduceat(part, self.block_first[:-1], axis=1)
+        total, n_blocks = np.zeros_like(part), bound.shape[1]
+        # What the blocks with the highest bounds reach says which others are left.
+        lead = n_blocks - -(-n_blocks // LEAD)
+        leading = bound >= np.partition(bound, lead, axis=1)[:, lead:lead + 1]
+        for wave in (leading, ~leading):
+            now = wave & (bound > 0) & (bound + 10.0**-DIGITS >= floor[:, None])
+            for b in np.flatnonzero(now.any(axis=0)):
+                asked, docs = np.flatnonzero(now[:, b]), slice(self.block_first[b], self.block_first[b + 1])
+                total[asked, docs] = part[asked, docs] + dense[asked] @ self.table[docs].T
+            new = np.flatnonzero(floor <= 0)
+            if wave is leading and n > k and len(new):
+                floor = floor.copy()
+                floor[new] = np.round(np.partition(total[new], n - k, axis=1)[:, n - k], DIGITS)
+        asked, docs = np.nonzero(total >= np.maximum(floor - 10.0**-DIGITS, np.finfo(float).tiny)[:, None])
+        score = np.round(total[asked, docs], DIGITS)
+        keep = score >= floor[asked]
+        asked, docs, score = asked[keep], docs[keep], score[keep]
+        best = best_of(asked, score, self.known[docs], self.ids[docs], k)
+        return asked[best], docs[best], score[best]
+
+
+def best_of(query: np.ndarray, score: np.ndarray, known: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Places of each query's k best, in their order; documents without an id come after equal ones."""
+    order = np.lexsort((ids, ~known, -score, query))
+    query = query[order]
+    return order[np.arange(len(order)) - np.searchsorted(query, query) < k]
 
 
 def between(low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -230,30 +263,30 @@ def top_k(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_i
         terms = np.unique(np.concatenate(parts))
         df = frequencies(index, terms)
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        sent = spark.sparkContext.broadcast((ids, [np.searchsorted(terms, p).astype(np.int32) for p in parts], terms, idf, average))
+        first = np.append(0, np.cumsum([len(p) for p in parts]))
+        sent = spark.sparkContext.broadcast((np.array(ids, np.int64), first, np.searchsorted(terms, np.concatenate(parts)).astype(np.int32), terms, idf, average))
 
         def search(batches, sent=sent):
-            ids, parts, terms, idf, average = sent.value
-            found: list[list[tuple[float, int, bool]]] = [[] for _ in ids]
+            ids, first, asked, terms, idf, average = sent.value
+            query_of = np.repeat(np.arange(len(ids)), np.diff(first))
+            best = [np.zeros(0, np.int64), np.zeros(0), np.zeros(0, bool), np.zeros(0, np.int64)]  # query, score, known, id
+            floor = np.zeros(len(ids))
             for batch in batches:
                 for shard in opened(batch):
                     shard.weigh(average)
                     there, at = shard.find(terms)
                     local = np.full(len(terms), -1)
                     local[there] = at
-                    for q, part in enumerate(parts):
-                        spot = local[part]
-                        here = spot >= 0
-                        if not here.any():
-                            continue
-                        best = found[q]
-                        docs, score = shard.search(spot[here], idf[part[here]], k, -best[k - 1][0] if len(best) == k else 0.0)
-                        best.extend(zip((-score).tolist(), (~shard.known[docs]).tolist(), shard.ids[docs].tolist()))
-                        best.sort()
-                        del best[k:]
-            rows = [(ids[q], i, not no, -s) for q, best in enumerate(found) for s, no, i in best]
-            cells = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cells[0], pa.int64()), pa.array(cells[1], pa.int64(), mask=~np.array(cells[2], bool)), pa.array(cells[3], pa.float64())], ["query_id", "doc_id", "score"])
+                    here = np.flatnonzero(local[asked] >= 0)
+                    own = np.searchsorted(query_of[here], np.arange(len(ids) + 1))
+                    query, docs, score = shard.search_all(own, local[asked[here]], idf[asked[here]], k, floor)
+                    best = [np.concatenate(x) for x in zip(best, (query, score, shard.known[docs], shard.ids[docs]))]
+                    top = best_of(*best, k)
+                    best = [x[top] for x in best]
+                    last = np.searchsorted(best[0], np.arange(len(ids)), "right") - 1
+                    full = np.bincount(best[0], minlength=len(ids)) == k
+                    floor[full] = best[1][last[full]]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[best[0]]), pa.array(best[3], pa.int64(), mask=~best[2]), pa.array(best[1])], ["query_id", "doc_id", "score"])
 
         part = store(index.mapInArrow(search, "query_id long, doc_id long, score double"), "found")
         out = part if out is None else out.unionByName(part)

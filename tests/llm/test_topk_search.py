@@ -61,3 +61,42 @@ def test_bounds_prune(hard_docs):
 def test_empty_tables(hard_docs, no_docs):
     assert top_k(no_docs, hard_docs.filter("doc_id < 9")).count() == 0
     assert top_k(hard_docs, no_docs).count() == 0
+
+
+def test_queries_of_a_shard_are_answered_together(hard_docs, monkeypatch):
+    """Many queries in few calls, each with the answer that it gets alone, whatever is done by matrices."""
+    import numpy as np
+    import pyarrow as pa
+    rows = [r for r in plain(hard_docs) if r[0] is not None]
+    monkeypatch.setattr(module, "BLOCK_DOCS", 4)
+    calls, real = [], module.Shard.search_some
+    monkeypatch.setattr(module.Shard, "search_some", lambda self, *a: calls.append(len(a[-1])) or real(self, *a))
+    found = []
+    for frequent, queries, postings in ((0, 1, 1), (3, 7, 40), (10**6, 128, 1 << 18)):
+        monkeypatch.setattr(module, "FREQUENT", frequent)
+        monkeypatch.setattr(module, "QUERIES", queries)
+        monkeypatch.setattr(module, "POSTINGS", postings)
+        shard = module.Shard.build(np.array([r[0] for r in rows]), np.ones(len(rows), bool), pa.array([r[1] or "" for r in rows]))
+        shard.weigh(float(shard.lengths.mean()))
+        rng = np.random.default_rng(1)
+        asked = [np.flatnonzero(rng.random(len(shard.terms)) < p) for p in np.linspace(0, 0.5, 40)]
+        first, at = np.append(0, np.cumsum([len(a) for a in asked])), np.concatenate(asked)
+        weight = rng.uniform(1, 3, len(at))
+        calls.clear()
+        query, docs, score = shard.search_all(first, at, weight, 5, np.zeros(40))
+        assert sum(calls) == 40 and (queries < 128 or len(calls) == 1)
+        for q in range(40):
+            alone, points = shard.search(at[first[q]:first[q + 1]], weight[first[q]:first[q + 1]], 5, 0.0)
+            assert list(docs[query == q]) == list(alone) and np.allclose(score[query == q], points, atol=2e-6)
+            total = np.zeros(len(rows))
+            for a, w in zip(asked[q], weight[first[q]:]):
+                part = slice(shard.edges[a], shard.edges[a + 1])
+                total[shard.docs[part]] += w * shard.impact[part]
+            assert np.allclose(points, np.sort(total[total > 0])[::-1][:5], atol=2e-6)
+        found.append(sorted(zip(query, docs)))
+    assert found[0] == found[1] == found[2]
+
+
+def test_rows_without_id_do_not_push_equal_ones_out(spark):
+    docs = spark.createDataFrame([(None, "same words"), (None, "same words"), (5, "same words"), (6, "same words"), (7, "others")], "doc_id long, text string").coalesce(1)
+    assert [(r.rank, r.doc_id) for r in top_k(docs, docs.filter("doc_id = 5"), 3).orderBy("rank").collect()] == [(1, 5), (2, 6), (3, None)]
