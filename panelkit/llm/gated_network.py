@@ -19,6 +19,7 @@ SHAPES = {
     "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (FREQUENT, HIDDEN, SLOTS), "bw": (FREQUENT, SLOTS),
 }
 END = 0  # its slot
+PIECE = 4096  # tokens whose probabilities are worked out at once, in a core's cache
 
 
 def begin(counts: np.ndarray, rare: np.ndarray) -> dict[str, np.ndarray]:
@@ -44,42 +45,90 @@ def unflat(x: np.ndarray) -> dict[str, np.ndarray]:
     return {k: p.reshape(s).astype(np.float32) for (k, s), p in zip(SHAPES.items(), np.split(x, cuts))}
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return np.float32(1) / (np.float32(1) + np.exp(-x))
-
-
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+def exps(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of the rows of ``x``, and their sums; ``x`` is moved so that neither is too large."""
+    x -= x.max(initial=0)
+    e = np.exp(x)
+    total = e @ np.ones(x.shape[1], x.dtype)
+    low = np.flatnonzero(total < 1e-20)  # far below the other rows
+    if len(low):
+        x[low] -= x[low].max(axis=1, keepdims=True)
+        e[low] = np.exp(x[low])
+        total[low] = e[low].sum(axis=1)
+    return e, total
 
 
 def class_of(tokens: np.ndarray) -> np.ndarray:
     return np.where(tokens < KNOWN, tokens // SLOTS, tokens - KNOWN + FREQUENT)
 
 
-def by_class(tokens: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """(class, places) of the tokens that have a slot."""
-    kind = class_of(tokens)
-    order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(FREQUENT + 1))
-    return [(c, order[a:b]) for c, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+def in_order(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens in order, which is that of their classes, and their places."""
+    order = np.argsort(tokens.astype(np.uint16), kind="stable")
+    return tokens[order], order
+
+
+def with_one(states: np.ndarray) -> np.ndarray:
+    out = np.ones((len(states), HIDDEN + 1), states.dtype)
+    out[:, :HIDDEN] = states
+    return out
+
+
+def of_classes(tokens: np.ndarray) -> list[tuple[int, int, int]]:
+    """(class, from, to) of tokens in order that have a slot."""
+    cuts = np.searchsorted(tokens, np.arange(FREQUENT + 1) * SLOTS).tolist()
+    return [(c, a, b) for c, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
+
+
+def outputs(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.ndarray):
+    """For tokens in order, states with a 1 behind: the logarithm of each one's probability, of the class only where
+    there is no slot; and ``exps`` over all classes, and over the slots of each one's class."""
+    kind, rows = class_of(tokens), np.arange(len(tokens))
+    x = states @ np.concatenate([w["wc"], w["bc"][None]])
+    classes = exps(x)
+    logs = x[rows, kind] - np.log(classes[1])
+    inner = np.concatenate([w["ww"], w["bw"][:, None]], axis=1)
+    known = int(np.searchsorted(tokens, KNOWN))
+    x = np.empty((known, SLOTS), x.dtype)
+    for c, a, b in of_classes(tokens):
+        np.matmul(states[a:b], inner[c], out=x[a:b])
+    slots = exps(x)
+    logs[:known] += x[rows[:known], tokens[:known] % SLOTS] - np.log(slots[1])
+    return logs, classes, slots
 
 
 def log_probability(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural logarithm of each token's probability; of the class only where a token has no slot."""
-    out = np.take_along_axis(log_softmax(states @ w["wc"] + w["bc"]), class_of(tokens)[:, None], 1)[:, 0]
-    for c, at in by_class(tokens):
-        inner = log_softmax(states[at] @ w["ww"][c] + w["bw"][c])
-        out[at] += inner[np.arange(len(at)), tokens[at] % SLOTS]
+    out = np.empty(len(tokens), states.dtype)
+    for low in range(0, len(tokens), PIECE):
+        sorted_tokens, order = in_order(tokens[low:low + PIECE])
+        out[low + order] = outputs(w, with_one(states[low:low + PIECE].take(order, axis=0)), sorted_tokens)[0]
     return out
 
 
-def step(w: dict[str, np.ndarray], gx: np.ndarray, h: np.ndarray):
-    gh = h @ w["wh"]
-    zr = sigmoid(gx[:, :2 * HIDDEN] + gh[:, :2 * HIDDEN])
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    n = np.tanh(gx[:, 2 * HIDDEN:] + r * gh[:, 2 * HIDDEN:])
-    return n + z * (h - n), z, r, n, gh[:, 2 * HIDDEN:]
+def by_column(x: np.ndarray) -> np.ndarray:
+    """The same (steps, lanes, width) with the lanes next to each other in memory."""
+    return np.ascontiguousarray(x.transpose(0, 2, 1)).transpose(0, 2, 1)
+
+
+def step(w: dict[str, np.ndarray], gx: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The next state, both gates, the proposal, and what the state adds to all three.
+
+    Rows are lanes. It is faster where columns are contiguous, as they are in all that it returns.
+    """
+    gh = (w["wh"].T @ h.T).T
+    zr = gx[:, :2 * HIDDEN] + gh[:, :2 * HIDDEN]
+    np.negative(zr, out=zr)
+    np.exp(zr, out=zr)
+    zr += 1
+    np.reciprocal(zr, out=zr)
+    n = zr[:, HIDDEN:] * gh[:, 2 * HIDDEN:]
+    n += gx[:, 2 * HIDDEN:]
+    np.tanh(n, out=n)
+    out = h - n
+    out *= zr[:, :HIDDEN]
+    out += n
+    return out, zr, n, gh
 
 
 def score_documents(w: dict[str, np.ndarray], tokens: np.ndarray, first: np.ndarray, lanes: int = 512, window: int = 64) -> np.ndarray:
@@ -108,22 +157,28 @@ def score_documents(w: dict[str, np.ndarray], tokens: np.ndarray, first: np.ndar
     offset = np.cumsum(size[by_lane]) - size[by_lane]
     source = np.arange(len(tokens)) + np.repeat(first[:-1][by_lane] - offset, size[by_lane])
     begin_lane = np.cumsum(load) - load
-    stream = tokens[source]
+    stream = np.append(tokens[source], END)
     gates = w["embed"] @ w["wx"] + w["b"]
     h = np.zeros((lanes, HIDDEN), np.float32)
     for low in range(0, int(load[0]), window):
-        states, places = [], []
-        for t in range(low, min(low + window, int(load[0]))):
-            active = int(np.searchsorted(-load, -t, "left"))  # lanes with load > t
-            h = h[:active]
-            at = begin_lane[:active] + t
-            states.append(h)
-            places.append(at)
-            now = stream[at]
-            h = step(w, gates[now], h)[0]
-            h[now == END] = 0
-        places = np.concatenate(places)
-        out[source[places]] = log_probability(w, np.concatenate(states), stream[places])
+        active = int(np.searchsorted(-load, -low, "left"))  # lanes with load > low
+        steps = min(window, int(load[0]) - low)
+        turn = np.arange(low, low + steps)[:, None]
+        there = turn < load[:active]
+        places = np.where(there, begin_lane[:active] + turn, len(tokens))
+        now = stream[places]
+        gx, keep = by_column(gates.take(now, axis=0)), (now != END)[:, :, None].astype(np.float32)
+        states = by_column(np.empty((steps, active, HIDDEN), np.float32))
+        h = h[:active]
+        for t in range(steps):
+            states[t] = h
+            h = step(w, gx[t], h)[0]
+            h *= keep[t]
+        there, states = there.ravel(), states.reshape(-1, HIDDEN)
+        places = places.ravel()
+        if not there.all():
+            places, states = places[there], states[there]
+        out[source[places]] = log_probability(w, states, stream[places])
     return out
 
 
@@ -133,57 +188,63 @@ def gradient(w: dict[str, np.ndarray], tokens: np.ndarray, h: np.ndarray) -> tup
     The gradient stops at the window's beginning.
     """
     steps, lanes = tokens.shape
-    gx = (w["embed"] @ w["wx"] + w["b"])[tokens]  # fewer kinds of tokens than tokens
-    kept, states = [], []
+    gx = by_column((w["embed"] @ w["wx"] + w["b"]).take(tokens, axis=0))  # fewer kinds of tokens than tokens
+    keep = (tokens != END)[:, :, None].astype(np.float32)
+    kept = []
     for t in range(steps):
-        states.append(h)
-        after, *rest = step(w, gx[t], h)
-        kept.append((h, *rest))
-        h = after * (tokens[t] != END)[:, None]
-    all_states, all_tokens = np.concatenate(states), tokens.ravel()
+        after, zr, n, gh = step(w, gx[t], h)
+        kept.append((h.T, zr.T[:HIDDEN], zr.T[HIDDEN:], n.T, gh.T[2 * HIDDEN:]))
+        h = after * keep[t]
+    states, z, r, n, gn = (np.stack(x) for x in zip(*kept))  # (steps, width, lanes), as all below
+    rows = lambda x: x.transpose(0, 2, 1).reshape(len(order), -1).take(order, axis=0)
     g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    kind, rows = class_of(all_tokens), np.arange(len(all_tokens))
-    logs = log_softmax(all_states @ w["wc"] + w["bc"])
-    loss = -float(logs[rows, kind].sum())
-    d = np.exp(logs)
-    d[rows, kind] -= 1
-    g["wc"], g["bc"] = all_states.T @ d, d.sum(0)
-    back = d @ w["wc"].T
-    for c, at in by_class(all_tokens):
-        logs = log_softmax(all_states[at] @ w["ww"][c] + w["bw"][c])
-        spot = all_tokens[at] % SLOTS
-        loss -= float(logs[np.arange(len(at)), spot].sum())
-        d = np.exp(logs)
-        d[np.arange(len(at)), spot] -= 1
-        g["ww"][c], g["bw"][c] = all_states[at].T @ d, d.sum(0)
-        back[at] += d @ w["ww"][c].T
-    back = back.reshape(steps, lanes, HIDDEN)
-    dgx = np.empty_like(gx)
-    dh = np.zeros((lanes, HIDDEN), np.float32)
+    sorted_tokens, order = in_order(tokens.ravel())
+    s = with_one(rows(states))
+    logs, (d, total), (d_slots, slot_total) = outputs(w, s, sorted_tokens)
+    d /= total[:, None]
+    d[np.arange(len(d)), class_of(sorted_tokens)] -= 1
+    both = s.T @ d
+    g["wc"], g["bc"] = both[:-1], both[-1]
+    back_sorted = d @ w["wc"].T
+    d_slots /= slot_total[:, None]
+    d_slots[np.arange(len(d_slots)), sorted_tokens[:len(d_slots)] % SLOTS] -= 1
+    for c, a, b in of_classes(sorted_tokens):
+        both = s[a:b].T @ d_slots[a:b]
+        g["ww"][c], g["bw"][c] = both[:-1], both[-1]
+        back_sorted[a:b] += d_slots[a:b] @ w["ww"][c].T
+    back = np.empty_like(back_sorted)
+    back[order] = back_sorted
+    back = np.ascontiguousarray(back.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
+    # What a state's gradient is multiplied by on its way to the two gates and the proposal.
+    to_n = (1 - z) * (1 - n * n)
+    factors = np.empty((steps, 3, HIDDEN, lanes), np.float32)
+    np.multiply((states - n) * z, 1 - z, out=factors[:, 0])
+    np.multiply(to_n, r, out=factors[:, 2])
+    np.multiply(factors[:, 2] * gn, 1 - r, out=factors[:, 1])
+    dgh, dhs = np.empty_like(factors), np.empty_like(states)
+    dh = np.zeros((HIDDEN, lanes), np.float32)
     for t in range(steps - 1, -1, -1):
-        before, z, r, n, gn = kept[t]
-        dh = dh * (tokens[t] != END)[:, None]
-        dn = dh * (1 - z) * (1 - n * n)
-        dz = dh * (before - n) * z * (1 - z)
-        dr = dn * gn * r * (1 - r)
-        dgx[t] = np.concatenate([dz, dr, dn], 1)
-        dgh = np.concatenate([dz, dr, dn * r], 1)
-        g["wh"] += before.T @ dgh
-        dh = dh * z + dgh @ w["wh"].T + back[t]
-    per_kind = sums_by(dgx.reshape(-1, 3 * HIDDEN), all_tokens, KNOWN + RARE)
+        np.multiply(dh, keep[t].T, out=dhs[t])
+        np.multiply(factors[t], dhs[t], out=dgh[t])
+        dh = w["wh"] @ dgh[t].reshape(-1, lanes)
+        dh += dhs[t] * z[t]
+        dh += back[t]
+    dgh = dgh.reshape(steps, -1, lanes)
+    g["wh"] = (states @ dgh.transpose(0, 2, 1)).sum(axis=0)
+    np.multiply(dhs, to_n, out=dgh[:, 2 * HIDDEN:])  # the state enters the proposal by way of r, the token does not
+    per_kind = sums_by(rows(dgh), sorted_tokens, KNOWN + RARE)
     g["b"] = per_kind.sum(0)
     g["wx"] = w["embed"].T @ per_kind
     g["embed"] = per_kind @ w["wx"].T
-    n = len(all_tokens)
-    return {k: (v / n).astype(np.float32) for k, v in g.items()}, h, loss / n
+    count = len(order)
+    return {k: (v / count).astype(np.float32) for k, v in g.items()}, h, -float(logs.sum()) / count
 
 
 def sums_by(rows: np.ndarray, kind: np.ndarray, kinds: int) -> np.ndarray:
-    """The sum of the rows of each kind."""
-    order = np.argsort(kind, kind="stable")
-    first = np.flatnonzero(np.diff(kind[order], prepend=-1))
+    """The sum of the rows of each kind; kinds are in order."""
+    first = np.flatnonzero(np.diff(kind, prepend=-1))
     out = np.zeros((kinds, rows.shape[1]), rows.dtype)
-    out[kind[order][first]] = np.add.reduceat(rows[order], first, axis=0)
+    out[kind[first]] = np.add.reduceat(rows, first, axis=0)
     return out
 
 
@@ -218,7 +279,15 @@ class Trainer:
             g = flat(g)
             g *= np.float32(min(1.0, 1.0 / (float(np.linalg.norm(g)) + 1e-9)))
             self.turn += 1
-            self.m = 0.9 * self.m + 0.1 * g
-            self.v = 0.99 * self.v + 0.01 * g * g
-            self.x = self.x - self.rate * (self.m / (1 - 0.9**self.turn)) / (np.sqrt(self.v / (1 - 0.99**self.turn)) + 1e-6)
+            self.m *= np.float32(0.9)
+            self.m += np.float32(0.1) * g
+            g *= g
+            self.v *= np.float32(0.99)
+            self.v += np.float32(0.01) * g
+            size = np.sqrt(self.v)
+            size *= np.float32((1 - 0.99**self.turn) ** -0.5)
+            size += np.float32(1e-6)
+            np.divide(self.m, size, out=size)
+            size *= np.float32(self.rate / (1 - 0.9**self.turn))
+            self.x = self.x - size
             self.weights = unflat(self.x)

@@ -163,3 +163,38 @@ def test_score_of_known_weights_is_that_of_a_plain_network(spark, monkeypatch, w
     got = {r.doc_id: r.score for r in lm_scores(docs, rounds=1).collect()}
     for i, text in zip(ids, texts):
         assert isclose(got[i], probability(text), rel_tol=1e-4, abs_tol=1e-4), (i, text)
+
+
+def test_every_exponential_is_taken_once(weights, monkeypatch):
+    """A window's gradient takes one per class and token, one per slot of its class, and one for both gates."""
+    class Counting:
+        taken = 0
+
+        def __getattr__(self, name):
+            return getattr(np, name)
+
+        def exp(self, x, **more):
+            self.taken += np.size(x)
+            return np.exp(x, **more)
+
+    rng = np.random.default_rng(7)
+    tokens = rng.integers(0, net.KNOWN + net.RARE, (32, 20))
+    h = np.zeros((20, net.HIDDEN), np.float32)
+    want = net.gradient(weights, tokens, h)
+    counting = Counting()
+    monkeypatch.setattr(net, "np", counting)
+    got = net.gradient(weights, tokens, h)
+    assert counting.taken <= tokens.size * (net.CLASSES + 2 * net.HIDDEN) + (tokens < net.KNOWN).sum() * net.SLOTS
+    assert want[2] == got[2] and all(np.array_equal(want[0][k], got[0][k]) for k in net.SHAPES)
+
+
+def test_rows_far_below_others_keep_their_probabilities(weights):
+    """Logits are moved by one number for all rows, unless that would leave a row nothing."""
+    far = {**weights, "wc": weights["wc"] * np.float32(0)}
+    far["wc"][0] = 500  # the first unit moves all classes of a row alike
+    states = np.random.default_rng(9).standard_normal((50, net.HIDDEN)).astype(np.float32)
+    states[:, 0] = np.linspace(-1, 1, 50)
+    tokens = np.random.default_rng(10).integers(0, net.KNOWN + net.RARE, 50)
+    together = net.log_probability(far, states, tokens)
+    alone = [net.log_probability(far, states[i:i + 1], tokens[i:i + 1])[0] for i in range(50)]
+    assert np.isfinite(together).all() and np.allclose(together, alone, atol=1e-3)
