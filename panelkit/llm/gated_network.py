@@ -18,8 +18,11 @@ SHAPES = {
     "embed": (KNOWN + RARE, EMBED), "wx": (EMBED, 3 * HIDDEN), "wh": (HIDDEN, 3 * HIDDEN), "b": (3 * HIDDEN,),
     "wc": (HIDDEN, CLASSES), "bc": (CLASSES,), "ww": (FREQUENT, HIDDEN, SLOTS), "bw": (FREQUENT, SLOTS),
 }
+ENDS_AT = np.cumsum([np.prod(s) for s in SHAPES.values()]).tolist()
+WEIGHTS = ENDS_AT[-1]
 END = 0  # its slot
-PIECE = 4096  # tokens whose probabilities are worked out at once, in a core's cache
+PIECE = 4096  # tokens whose slots are worked out at once
+TILE = 1024  # tokens whose classes are worked out at once, in a core's cache
 
 
 def begin(counts: np.ndarray, rare: np.ndarray) -> dict[str, np.ndarray]:
@@ -41,20 +44,20 @@ def flat(weights: dict[str, np.ndarray]) -> np.ndarray:
 
 
 def unflat(x: np.ndarray) -> dict[str, np.ndarray]:
-    cuts = np.cumsum([np.prod(s) for s in SHAPES.values()])[:-1]
-    return {k: p.reshape(s).astype(np.float32) for (k, s), p in zip(SHAPES.items(), np.split(x, cuts))}
+    x = x.astype(np.float32, copy=False)
+    return {k: x[a:b].reshape(s) for (k, s), a, b in zip(SHAPES.items(), [0, *ENDS_AT], ENDS_AT)}
 
 
 def exps(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials of the rows of ``x``, and their sums; ``x`` is moved so that neither is too large."""
-    x -= x.max(initial=0)
-    e = np.exp(x)
-    total = e @ np.ones(x.shape[1], x.dtype)
-    low = np.flatnonzero(total < 1e-20)  # far below the other rows
-    if len(low):
-        x[low] -= x[low].max(axis=1, keepdims=True)
-        e[low] = np.exp(x[low])
-        total[low] = e[low].sum(axis=1)
+    """Exponentials of the rows of ``x``, and their sums; a row whose sum would be too large or small is moved."""
+    with np.errstate(over="ignore"):
+        e = np.exp(x)
+        total = e @ np.ones(x.shape[1], x.dtype)
+    far = np.flatnonzero(~((total > 1e-20) & (total < 1e20)))
+    if len(far):
+        x[far] -= x[far].max(axis=1, keepdims=True)
+        e[far] = np.exp(x[far])
+        total[far] = e[far].sum(axis=1)
     return e, total
 
 
@@ -75,60 +78,95 @@ def with_one(states: np.ndarray) -> np.ndarray:
 
 
 def of_classes(tokens: np.ndarray) -> list[tuple[int, int, int]]:
-    """(class, from, to) of tokens in order that have a slot."""
-    cuts = np.searchsorted(tokens, np.arange(FREQUENT + 1) * SLOTS).tolist()
+    """(class, from, to) of tokens in order; all without a slot are one class behind the others."""
+    cuts = [*np.searchsorted(tokens, np.arange(FREQUENT + 1) * SLOTS).tolist(), len(tokens)]
     return [(c, a, b) for c, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
 
 
-def outputs(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.ndarray):
-    """For tokens in order, states with a 1 behind: the logarithm of each one's probability, of the class only where
-    there is no slot; and ``exps`` over all classes, and over the slots of each one's class."""
-    kind, rows = class_of(tokens), np.arange(len(tokens))
-    x = states @ np.concatenate([w["wc"], w["bc"][None]])
-    classes = exps(x)
-    logs = x[rows, kind] - np.log(classes[1])
+def tiles(count: int) -> list[slice]:
+    return [slice(low, min(low + TILE, count)) for low in range(0, count, TILE)]
+
+
+def of_class(w: dict[str, np.ndarray], states: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The logarithm of the probability of each token's class, which is at ``at`` in the matrix of all; and ``exps`` over all."""
+    x = states @ w["wc"]
+    x += w["bc"]
+    e, total = exps(x)
+    return x.ravel().take(at) - np.log(total), e, total
+
+
+def of_slot(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same of each token's slot, and over the slots of its class. Tokens in order, states ``with_one``."""
     inner = np.concatenate([w["ww"], w["bw"][:, None]], axis=1)
-    known = int(np.searchsorted(tokens, KNOWN))
-    x = np.empty((known, SLOTS), x.dtype)
+    x = np.empty((len(tokens), SLOTS), states.dtype)
     for c, a, b in of_classes(tokens):
-        np.matmul(states[a:b], inner[c], out=x[a:b])
-    slots = exps(x)
-    logs[:known] += x[rows[:known], tokens[:known] % SLOTS] - np.log(slots[1])
-    return logs, classes, slots
+        np.dot(states[a:b], inner[c], out=x[a:b])
+    e, total = exps(x)
+    return x.ravel().take(at) - np.log(total), e, total
+
+
+def cells(columns: np.ndarray, width: int) -> np.ndarray:
+    """Where one column of each row of a matrix lies in its memory."""
+    return np.arange(0, len(columns) * width, width) + columns
 
 
 def log_probability(w: dict[str, np.ndarray], states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     """Natural logarithm of each token's probability; of the class only where a token has no slot."""
-    out = np.empty(len(tokens), states.dtype)
+    out, kind = np.empty(len(tokens), states.dtype), class_of(tokens)
+    for part in tiles(len(tokens)):
+        out[part] = of_class(w, states[part], cells(kind[part], CLASSES))[0]
     for low in range(0, len(tokens), PIECE):
-        sorted_tokens, order = in_order(tokens[low:low + PIECE])
-        out[low + order] = outputs(w, with_one(states[low:low + PIECE].take(order, axis=0)), sorted_tokens)[0]
+        known, order = in_order(tokens[low:low + PIECE])
+        known = known[:np.searchsorted(known, KNOWN)]
+        order = low + order[:len(known)]
+        out[order] += of_slot(w, with_one(states.take(order, axis=0)), known, cells(known % SLOTS, SLOTS))[0]
     return out
 
 
-def by_column(x: np.ndarray) -> np.ndarray:
-    """The same (steps, lanes, width) with the lanes next to each other in memory."""
-    return np.ascontiguousarray(x.transpose(0, 2, 1)).transpose(0, 2, 1)
+def by_gate(x: np.ndarray) -> np.ndarray:
+    """(rows, 3 * HIDDEN) as (3, rows, HIDDEN)."""
+    return np.ascontiguousarray(x.reshape(len(x), 3, HIDDEN).transpose(1, 0, 2))
+
 
+def ends_of(tokens: np.ndarray) -> list[np.ndarray]:
+    """For each step the lanes whose document ends there."""
+    step, lane = np.nonzero(tokens == END)
+    cuts = np.searchsorted(step, np.arange(len(tokens) + 1)).tolist()
+    return [lane[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
-def step(w: dict[str, np.ndarray], gx: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The next state, both gates, the proposal, and what the state adds to all three.
 
-    Rows are lanes. It is faster where columns are contiguous, as they are in all that it returns.
+def signed(x: np.ndarray) -> np.ndarray:
+    """``by_gate``, both gates negated: their exponentials are of -x."""
+    out = by_gate(x)
+    np.negative(out[:2], out=out[:2])
+    return out
+
+
+def advance(wh: np.ndarray, gx: np.ndarray, h: np.ndarray, gh: np.ndarray, zr: np.ndarray, n: np.ndarray, out: np.ndarray) -> None:
+    """One step: writes what the state adds to gates and proposal, both gates, the proposal and the next state.
+
+    ``wh`` and ``gx`` are ``signed``.
     """
-    gh = (w["wh"].T @ h.T).T
-    zr = gx[:, :2 * HIDDEN] + gh[:, :2 * HIDDEN]
-    np.negative(zr, out=zr)
+    np.matmul(h, wh, out=gh)
+    np.add(gx[:2], gh[:2], out=zr)
     np.exp(zr, out=zr)
     zr += 1
     np.reciprocal(zr, out=zr)
-    n = zr[:, HIDDEN:] * gh[:, 2 * HIDDEN:]
-    n += gx[:, 2 * HIDDEN:]
+    np.multiply(zr[1], gh[2], out=n)
+    n += gx[2]
     np.tanh(n, out=n)
-    out = h - n
-    out *= zr[:, :HIDDEN]
+    np.subtract(h, n, out=out)
+    out *= zr[0]
     out += n
-    return out, zr, n, gh
+
+
+def step(w: dict[str, np.ndarray], gx: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The next state of lanes, which are rows; both gates and the proposal."""
+    gh, out, n = np.empty((3, *h.shape), np.float32), np.empty_like(h), np.empty_like(h)
+    zr = np.empty((2, *h.shape), np.float32)
+    with np.errstate(over="ignore"):
+        advance(signed(w["wh"]), signed(gx), h, gh, zr, n, out)
+    return out, zr, n
 
 
 def score_documents(w: dict[str, np.ndarray], tokens: np.ndarray, first: np.ndarray, lanes: int = 512, window: int = 64) -> np.ndarray:
@@ -158,7 +196,7 @@ def score_documents(w: dict[str, np.ndarray], tokens: np.ndarray, first: np.ndar
     source = np.arange(len(tokens)) + np.repeat(first[:-1][by_lane] - offset, size[by_lane])
     begin_lane = np.cumsum(load) - load
     stream = np.append(tokens[source], END)
-    gates = w["embed"] @ w["wx"] + w["b"]
+    gates, wh = signed(w["embed"] @ w["wx"] + w["b"]), signed(w["wh"])  # fewer kinds of tokens than tokens
     h = np.zeros((lanes, HIDDEN), np.float32)
     for low in range(0, int(load[0]), window):
         active = int(np.searchsorted(-load, -low, "left"))  # lanes with load > low
@@ -167,15 +205,17 @@ def score_documents(w: dict[str, np.ndarray], tokens: np.ndarray, first: np.ndar
         there = turn < load[:active]
         places = np.where(there, begin_lane[:active] + turn, len(tokens))
         now = stream[places]
-        gx, keep = by_column(gates.take(now, axis=0)), (now != END)[:, :, None].astype(np.float32)
-        states = by_column(np.empty((steps, active, HIDDEN), np.float32))
-        h = h[:active]
-        for t in range(steps):
-            states[t] = h
-            h = step(w, gx[t], h)[0]
-            h *= keep[t]
-        there, states = there.ravel(), states.reshape(-1, HIDDEN)
-        places = places.ravel()
+        ends = ends_of(now)
+        states = np.empty((steps + 1, active, HIDDEN), np.float32)
+        states[0] = h[:active]
+        gh, zr, n = (np.empty((k, active, HIDDEN), np.float32) for k in (3, 2, 1))
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                advance(wh, gates.take(now[t], axis=1), states[t], gh, zr, n[0], states[t + 1])
+                if len(ends[t]):
+                    states[t + 1, ends[t]] = 0
+        h, states = states[-1], states[:-1].reshape(-1, HIDDEN)
+        there, places = there.ravel(), places.ravel()
         if not there.all():
             places, states = places[there], states[there]
         out[source[places]] = log_probability(w, states, stream[places])
@@ -188,64 +228,97 @@ def gradient(w: dict[str, np.ndarray], tokens: np.ndarray, h: np.ndarray) -> tup
     The gradient stops at the window's beginning.
     """
     steps, lanes = tokens.shape
-    gx = by_column((w["embed"] @ w["wx"] + w["b"]).take(tokens, axis=0))  # fewer kinds of tokens than tokens
-    keep = (tokens != END)[:, :, None].astype(np.float32)
-    kept = []
-    for t in range(steps):
-        after, zr, n, gh = step(w, gx[t], h)
-        kept.append((h.T, zr.T[:HIDDEN], zr.T[HIDDEN:], n.T, gh.T[2 * HIDDEN:]))
-        h = after * keep[t]
-    states, z, r, n, gn = (np.stack(x) for x in zip(*kept))  # (steps, width, lanes), as all below
-    rows = lambda x: x.transpose(0, 2, 1).reshape(len(order), -1).take(order, axis=0)
-    g = {k: np.zeros(s, np.float32) for k, s in SHAPES.items()}
-    sorted_tokens, order = in_order(tokens.ravel())
-    s = with_one(rows(states))
-    logs, (d, total), (d_slots, slot_total) = outputs(w, s, sorted_tokens)
-    d /= total[:, None]
-    d[np.arange(len(d)), class_of(sorted_tokens)] -= 1
-    both = s.T @ d
-    g["wc"], g["bc"] = both[:-1], both[-1]
-    back_sorted = d @ w["wc"].T
-    d_slots /= slot_total[:, None]
-    d_slots[np.arange(len(d_slots)), sorted_tokens[:len(d_slots)] % SLOTS] -= 1
-    for c, a, b in of_classes(sorted_tokens):
-        both = s[a:b].T @ d_slots[a:b]
-        g["ww"][c], g["bw"][c] = both[:-1], both[-1]
-        back_sorted[a:b] += d_slots[a:b] @ w["ww"][c].T
-    back = np.empty_like(back_sorted)
-    back[order] = back_sorted
-    back = np.ascontiguousarray(back.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
+    count, wide = steps * lanes, (steps, lanes, HIDDEN)
+    total = np.empty(WEIGHTS, np.float32)
+    g = unflat(total)
+    gates, wh = signed(w["embed"] @ w["wx"] + w["b"]), signed(w["wh"])  # fewer kinds of tokens than tokens
+    ends = ends_of(tokens)
+    states, n, dhs, back = (np.empty((steps + k, *wide[1:]), np.float32) for k in (1, 0, 0, 0))
+    gh, zr = np.empty((steps, 3, *wide[1:]), np.float32), np.empty((steps, 2, *wide[1:]), np.float32)
+    states[0] = h
+    with np.errstate(over="ignore"):
+        for t in range(steps):
+            advance(wh, gates.take(tokens[t], axis=1), states[t], gh[t], zr[t], n[t], states[t + 1])
+            if len(ends[t]):
+                states[t + 1, ends[t]] = 0
+    all_states, states, z, r = states, states[:-1], zr[:, 0], zr[:, 1]
+    # Exponentials are not made shares: the rows they are multiplied with are divided by the sums.
+    s, d_states, flat_tokens, loss = states.reshape(count, HIDDEN), back.reshape(count, HIDDEN), tokens.ravel(), 0.0
+    g["wc"][:], g["bc"][:] = 0, 0
+    kind, out_of_class = class_of(flat_tokens), np.ascontiguousarray(w["wc"].T)
+    for part in tiles(count):
+        at = cells(kind[part], CLASSES)
+        logs, d, sums = of_class(w, s[part], at)
+        loss -= float(logs.sum())
+        d.ravel()[at] -= sums
+        share = 1 / sums
+        g["wc"] += (s[part] * share[:, None]).T @ d
+        g["bc"] += share @ d
+        np.matmul(d, out_of_class, out=d_states[part])
+        d_states[part] *= share[:, None]
+    sorted_tokens, order = in_order(flat_tokens)
+    known, slot = int(np.searchsorted(sorted_tokens, KNOWN)), cells(sorted_tokens % SLOTS, SLOTS)
+    s_known = with_one(s.take(order[:known], axis=0))
+    logs, d, sums = of_slot(w, s_known, sorted_tokens[:known], slot[:known])
+    loss -= float(logs.sum())
+    d.ravel()[slot[:known]] -= sums
+    share = 1 / sums[:, None]
+    s_known *= share
+    both, d_known = np.full((FREQUENT, HIDDEN + 1, SLOTS), 0, np.float32), np.full((count, HIDDEN), 0, np.float32)
+    for c, a, b in of_classes(sorted_tokens[:known]):
+        np.dot(s_known[a:b].T, d[a:b], out=both[c])
+        np.dot(d[a:b], w["ww"][c].T, out=d_known[a:b])
+    g["ww"][:], g["bw"][:] = both[:, :-1], both[:, -1]
+    d_known[:known] *= share
+    place = np.empty_like(order)
+    place[order] = np.arange(count)
+    d_states += d_known.take(place, axis=0)
     # What a state's gradient is multiplied by on its way to the two gates and the proposal.
-    to_n = (1 - z) * (1 - n * n)
-    factors = np.empty((steps, 3, HIDDEN, lanes), np.float32)
-    np.multiply((states - n) * z, 1 - z, out=factors[:, 0])
+    not_z = 1 - z
+    to_n = n * n
+    np.subtract(1, to_n, out=to_n)
+    to_n *= not_z
+    factors = np.empty_like(gh)
+    x = all_states[1:] - n  # the state before by z; where a document ends no gradient comes back
+    np.multiply(x, not_z, out=factors[:, 0])
     np.multiply(to_n, r, out=factors[:, 2])
-    np.multiply(factors[:, 2] * gn, 1 - r, out=factors[:, 1])
-    dgh, dhs = np.empty_like(factors), np.empty_like(states)
-    dh = np.zeros((HIDDEN, lanes), np.float32)
+    np.subtract(1, r, out=x)
+    x *= gh[:, 2]
+    np.multiply(factors[:, 2], x, out=factors[:, 1])
+    dgh, parts = factors, np.empty((3, *wide[1:]), np.float32)
+    back_wh = np.ascontiguousarray(by_gate(w["wh"]).transpose(0, 2, 1))
+    dhs[-1] = 0
     for t in range(steps - 1, -1, -1):
-        np.multiply(dh, keep[t].T, out=dhs[t])
-        np.multiply(factors[t], dhs[t], out=dgh[t])
-        dh = w["wh"] @ dgh[t].reshape(-1, lanes)
-        dh += dhs[t] * z[t]
-        dh += back[t]
-    dgh = dgh.reshape(steps, -1, lanes)
-    g["wh"] = (states @ dgh.transpose(0, 2, 1)).sum(axis=0)
-    np.multiply(dhs, to_n, out=dgh[:, 2 * HIDDEN:])  # the state enters the proposal by way of r, the token does not
-    per_kind = sums_by(rows(dgh), sorted_tokens, KNOWN + RARE)
-    g["b"] = per_kind.sum(0)
-    g["wx"] = w["embed"].T @ per_kind
-    g["embed"] = per_kind @ w["wx"].T
-    count = len(order)
-    return {k: (v / count).astype(np.float32) for k, v in g.items()}, h, -float(logs.sum()) / count
-
-
-def sums_by(rows: np.ndarray, kind: np.ndarray, kinds: int) -> np.ndarray:
-    """The sum of the rows of each kind; kinds are in order."""
-    first = np.flatnonzero(np.diff(kind, prepend=-1))
-    out = np.zeros((kinds, rows.shape[1]), rows.dtype)
-    out[kind[first]] = np.add.reduceat(rows, first, axis=0)
-    return out
+        dh = dhs[t]
+        if len(ends[t]):
+            dh[ends[t]] = 0
+        dgh[t] *= dh
+        if t:
+            np.matmul(dgh[t], back_wh, out=parts)
+            before = np.multiply(dh, z[t], out=dhs[t - 1])
+            before += parts[0]
+            before += parts[1]
+            before += parts[2]
+            before += back[t]
+    g["wh"][:] = (states.transpose(0, 2, 1)[:, None] @ dgh).sum(axis=0).transpose(1, 0, 2).reshape(HIDDEN, -1)
+    np.multiply(dhs, to_n, out=dgh[:, 2])  # the state enters the proposal by way of r, the token does not
+    rows = (order + order // lanes * (2 * lanes))[:, None] + np.arange(0, 3 * lanes, lanes)
+    per_kind = sums_by(dgh.reshape(-1, HIDDEN).take(rows, axis=0).reshape(count, -1), sorted_tokens, slot)
+    g["b"][:] = per_kind.sum(0)
+    np.matmul(w["embed"].T, per_kind, out=g["wx"])
+    np.matmul(per_kind, w["wx"].T, out=g["embed"])
+    total /= count
+    return g, all_states[-1], loss / count
+
+
+def sums_by(rows: np.ndarray, tokens: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    """The sum of the rows of each kind of token. Tokens are in order; ``slot``: the ``cells`` of their slots."""
+    ones = np.full((len(tokens), SLOTS), 0, rows.dtype)
+    ones.ravel()[slot] = 1
+    out = np.full((KNOWN + SLOTS, rows.shape[1]), 0, rows.dtype)  # RARE is no larger than SLOTS
+    for c, a, b in of_classes(tokens):
+        np.dot(ones[a:b].T, rows[a:b], out=out[c * SLOTS:c * SLOTS + SLOTS])
+    return out[:KNOWN + RARE]
 
 
 class Trainer:
@@ -277,17 +350,20 @@ class Trainer:
         for low in range(0, length, self.window):
             g, h, _ = gradient(self.weights, grid[low:low + self.window], h)
             g = flat(g)
-            g *= np.float32(min(1.0, 1.0 / (float(np.linalg.norm(g)) + 1e-9)))
+            norm = float(np.linalg.norm(g))
+            if norm > 1:
+                g *= np.float32(1 / norm)
             self.turn += 1
+            # Sums, not means: Adam's 0.1 and 0.01 are in the two factors below.
             self.m *= np.float32(0.9)
-            self.m += np.float32(0.1) * g
+            self.m += g
             g *= g
             self.v *= np.float32(0.99)
-            self.v += np.float32(0.01) * g
-            size = np.sqrt(self.v)
-            size *= np.float32((1 - 0.99**self.turn) ** -0.5)
+            self.v += g
+            size = np.sqrt(self.v, out=g)
+            size *= np.float32((0.01 / (1 - 0.99**self.turn)) ** 0.5)
             size += np.float32(1e-6)
             np.divide(self.m, size, out=size)
-            size *= np.float32(self.rate / (1 - 0.9**self.turn))
+            size *= np.float32(0.1 * self.rate / (1 - 0.9**self.turn))
             self.x = self.x - size
             self.weights = unflat(self.x)

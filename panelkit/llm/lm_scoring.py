@@ -30,27 +30,37 @@ def held_out(id_col) -> F.Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % 7 == 2
 
 
-def rare_class(column: pa.ChunkedArray, words: Words) -> np.ndarray:
-    """By a word's last two bytes."""
-    raw = text_bytes(column)[0]
-    last, size = LOWER[raw[words.end - 1]].astype(np.uint64), words.end - words.start
-    other = np.where(size > 1, LOWER[raw[np.maximum(words.end - 2, 0)]], 0).astype(np.uint64)
+def rare_class(column: pa.ChunkedArray, words: Words, places: np.ndarray | slice = slice(None)) -> np.ndarray:
+    """By a word's last two bytes; of all words or those at ``places``."""
+    raw, start, end = text_bytes(column)[0], words.start[places], words.end[places]
+    last, size = LOWER[raw[end - 1]].astype(np.uint64), end - start
+    other = np.where(size > 1, LOWER[raw[np.maximum(end - 2, 0)]], 0).astype(np.uint64)
     return (mix(last * np.uint64(256) + other) % np.uint64(net.RARE)).astype(np.uint8)
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes in order, the place of one of each, and the entry of every hash."""
+    order = np.argsort(hashes)
+    sorted_hashes = hashes[order]
+    new = np.ones(len(hashes), bool)
+    np.not_equal(sorted_hashes[1:], sorted_hashes[:-1], out=new[1:])
+    entry = np.empty(len(hashes), np.int64)
+    entry[order] = np.cumsum(new) - 1
+    return sorted_hashes[new], order[new], entry
+
+
 def _entries(rows: pa.Table, buckets: int):
     """Words; each one's entry; per entry hash, class, bucket, count in training documents."""
     words = words_of(rows["text"], BLANK_WORDS, True)
-    kind = rare_class(rows["text"], words)
-    bucket = ((words.hash >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
-    hashes, example, entry = np.unique(words.hash, return_index=True, return_inverse=True)
-    order = np.lexsort((hashes, bucket[example]))
+    hashes, example, entry = distinct(words.hash)
+    bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")  # by bucket, then hash
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    example = example[order]
+    hashes, bucket, kind, entry = hashes[order], bucket[order], rare_class(rows["text"], words, example[order]), place[entry]
     learned = ~flatten(rows["carried"])[words.doc]
-    count = np.bincount(place[entry], learned, len(order)).astype(np.uint32)
-    return words, place[entry], words.hash[example], kind[example], bucket[example], count
+    count = np.bincount(entry, learned, len(order)).astype(np.uint32)
+    return words, entry, hashes, kind, bucket, count
 
 
 def flatten(carried: pa.ChunkedArray) -> np.ndarray:
@@ -63,14 +73,14 @@ def _add_up(rows: pa.Table) -> pa.Table:
     block, bucket, payload = exchange.rows_of(rows)
     parts = [exchange.unpack(p, ENTRY) for p in payload]
     hashes, count, kind = (np.concatenate(x) for x in zip(*parts))
-    distinct, example, entry = np.unique(hashes, return_index=True, return_inverse=True)
-    total = np.bincount(entry, count, len(distinct)).astype(np.int64)
+    hashes, example, entry = distinct(hashes)
+    total = np.bincount(entry, count, len(hashes)).astype(np.int64)
     answers = [t.astype(np.uint32).tobytes() for t in np.split(np.minimum(total, 2**32 - 1)[entry], np.cumsum([len(p[0]) for p in parts])[:-1])]
     kind = kind[example]
     top = np.argsort(-total, kind="stable")[:net.KNOWN]
     top = top[total[top] > 0]
     sums = np.bincount(kind, total, net.RARE).astype(np.int64), np.bincount(kind, total > 0, net.RARE).astype(np.int64)
-    stats = b"".join(x.tobytes() for x in (*sums, distinct[top].view(np.int64), total[top], kind[top].astype(np.int64)))
+    stats = b"".join(x.tobytes() for x in (*sums, hashes[top].view(np.int64), total[top], kind[top].astype(np.int64)))
     return pa.table({"block": pa.array([*block, -1], pa.int32()), "bucket": pa.array([*bucket, bucket[0]], pa.int32()), "payload": pa.array([*answers, stats], pa.binary())})
 
 

@@ -1,14 +1,17 @@
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from math import isclose, log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from llm_cases import plain
-from panelkit.llm import gated_network as net
+from panelkit.llm import gated_network as net, lm_scoring
 from panelkit.llm.lm_scoring import Vocabulary, drawn, lm_scores, train
+from panelkit.llm.words import BLANK_WORDS, BYTES, P1, P2, mix, words_of
 
 
 def tokens_of(text):
@@ -198,3 +201,67 @@ def test_rows_far_below_others_keep_their_probabilities(weights):
     together = net.log_probability(far, states, tokens)
     alone = [net.log_probability(far, states[i:i + 1], tokens[i:i + 1])[0] for i in range(50)]
     assert np.isfinite(together).all() and np.allclose(together, alone, atol=1e-3)
+
+
+def test_a_document_that_ends_passes_no_gradient_on(weights):
+    """A window with an end in the middle is two windows, of which the second begins anew."""
+    rng = np.random.default_rng(11)
+    tokens = rng.integers(1, net.KNOWN + net.RARE, (20, 6))
+    tokens[8] = net.END
+    h = rng.standard_normal((6, net.HIDDEN)).astype(np.float32) * np.float32(0.5)
+    whole, after, loss = net.gradient(weights, tokens, h)
+    first, _, loss_a = net.gradient(weights, tokens[:9], h)
+    second, last, loss_b = net.gradient(weights, tokens[9:], np.zeros_like(h))
+    assert isclose(loss, (9 * loss_a + 11 * loss_b) / 20, rel_tol=1e-5) and np.allclose(after, last, atol=1e-6)
+    for k in net.SHAPES:
+        assert np.allclose(whole[k], (9 * first[k] + 11 * second[k]) / 20, atol=1e-5), k
+
+
+def test_probabilities_do_not_depend_on_what_is_scored_beside(weights):
+    rng = np.random.default_rng(12)
+    count = 2 * net.PIECE + 77
+    tokens, states = rng.integers(0, net.KNOWN + net.RARE, count), rng.standard_normal((count, net.HIDDEN)).astype(np.float32)
+    parts = [net.log_probability(weights, states[low:low + 97], tokens[low:low + 97]) for low in range(0, count, 97)]
+    assert np.allclose(net.log_probability(weights, states, tokens), np.concatenate(parts), atol=1e-4)
+
+
+def room(work):
+    """Bytes that are allocated at once, beside what stays."""
+    tracemalloc.start()
+    try:
+        kept = work()
+        now, most = tracemalloc.get_traced_memory()
+        return most - now, kept
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_window_keeps_no_second_copies(weights):
+    """Before tiles of classes and states written in place: over 9 MB for 4,096 tokens."""
+    tokens = np.random.default_rng(13).integers(0, net.KNOWN, (32, 128))
+    assert room(lambda: net.gradient(weights, tokens, np.zeros((128, net.HIDDEN), np.float32)))[0] < 8e6
+
+
+def test_words_are_hashed_in_a_cores_cache():
+    """Before running sums over small pieces: over 20 bytes of room for each byte of text."""
+    texts = pa.array(["some words of a text that goes on and on " * 25] * 1000)
+    assert room(lambda: words_of(texts, BLANK_WORDS, True))[0] < 10 * texts.nbytes
+
+
+def test_hashes_are_those_of_the_definition():
+    texts = ["", "a", "B bb  b", None, "x" * 3000 + " tail", "\u00c4rger\x0b\u00c9tude " * 9000, "Same same SAME", "no blank at the end"]
+    got = words_of(pa.array(texts), BLANK_WORDS, True)
+    every = [t for text in texts for t in tokens_of(text)[:-1]]
+    for word, value in zip(every, got.hash, strict=True):
+        total = sum(int(BYTES[b]) * pow(int(P1), i + 1, 2**64) for i, b in enumerate(word)) + len(word) * int(P2)
+        assert mix(np.array([total % 2**64], np.uint64))[0] == value
+
+
+def test_classes_are_looked_up_of_distinct_words(monkeypatch):
+    asked, real = [], lm_scoring.rare_class
+    monkeypatch.setattr(lm_scoring, "rare_class", lambda *given: asked.append(real(*given)) or asked[-1])
+    carried = pa.chunked_array([pa.StructArray.from_arrays([pa.array([False, True])], ["held_out"])])
+    rows = pa.table({"text": pa.chunked_array([pa.array(["one two two One", "two three two"])]), "carried": carried})
+    _, entry, hashes, kind, _, count = lm_scoring._entries(rows, 5)
+    assert len(asked[0]) == len(hashes) == len(kind) == 3
+    assert sorted(count.tolist()) == [0, 2, 2] and np.array_equal(hashes[entry], words_of(rows["text"], BLANK_WORDS, True).hash)
