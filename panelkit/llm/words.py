@@ -12,7 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 1 << 16  # bytes that are hashed at once, in a core's cache; a longer document is hashed as a whole
+PIECE = 1 << 20  # bytes that are hashed at once; bounds the temporary arrays
+CACHED = 1 << 16  # the same for whole columns, in a core's cache; a longer document is hashed as a whole
 P1, P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 BYTES = np.random.Generator(np.random.PCG64(20240607)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -67,8 +68,9 @@ class Words:
         return fits
 
 
-def _spans(mark: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = at[at < len(mark)]
+def _spans(raw: np.ndarray, at: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    mark = inside[raw]
+    at = at[at < len(raw)]
     opens, closes = mark.copy(), mark.copy()
     np.greater(mark[1:], mark[:-1], out=opens[1:])
     opens[at] = mark[at]
@@ -77,6 +79,18 @@ def _spans(mark: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(opens), np.flatnonzero(closes) + 1
 
 
+def _hash(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    size = end - start
+    if not len(size):
+        return np.zeros(0, np.uint64)
+    offset = np.cumsum(size) - size
+    place = np.arange(offset[-1] + size[-1]) - np.repeat(offset, size)
+    power = np.cumprod(np.full(int(size.max()), P1, np.uint64))
+    value = BYTES[raw[place + np.repeat(start, size)]]
+    value *= power[place]
+    return mix(np.add.reduceat(value, offset) + size.astype(np.uint64) * P2)
+
+
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """P1 to the power of 1, 2, ...; its inverse modulo 2**64 to the power of 0, 1, ..."""
     inverse = np.full(size, pow(int(P1), -1, 2**64), np.uint64)
@@ -84,8 +98,8 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(np.full(size, P1, np.uint64)), np.cumprod(inverse)
 
 
-def _hash(value: np.ndarray, start: np.ndarray, end: np.ndarray, power: np.ndarray, inverse: np.ndarray) -> np.ndarray:
-    """By running sums over all bytes with powers of their places in the piece, taken back to places in the word."""
+def _hash_words(value: np.ndarray, start: np.ndarray, end: np.ndarray, power: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+    """``_hash`` by running sums over all bytes with powers of their places in the piece, taken back to places in the word."""
     total = np.zeros(len(value) + 1, np.uint64)
     np.cumsum(value * power[:len(value)], out=total[1:])
     return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64) * P2)
@@ -94,15 +108,15 @@ def _hash(value: np.ndarray, start: np.ndarray, end: np.ndarray, power: np.ndarr
 def words_of(column, inside: np.ndarray, lower: bool) -> Words:
     raw, at = text_bytes(column)
     hashes, starts, ends = [], [], []
-    cuts = np.unique(np.searchsorted(at, np.arange(0, len(raw), PIECE)))
+    cuts = np.unique(np.searchsorted(at, np.arange(0, len(raw), CACHED)))
     cuts = np.append(cuts[cuts < len(at) - 1], len(at) - 1)
     inside, value = (inside[LOWER], BYTES[LOWER]) if lower else (inside, BYTES)
     low, cuts = 0, cuts[cuts > 0]
     powers = _powers(int(np.diff(at[cuts], prepend=0).max(initial=0)))
     for high in cuts:  # whole documents at a time
         piece = raw[at[low]:at[high]]
-        start, end = _spans(inside[piece], at[low:high + 1] - at[low])
-        hashes.append(_hash(value[piece], start, end, *powers))
+        start, end = _spans(piece, at[low:high + 1] - at[low], inside)
+        hashes.append(_hash_words(value[piece], start, end, *powers))
         starts.append(start + at[low])
         ends.append(end + at[low])
         low = high
