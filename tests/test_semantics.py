@@ -136,6 +136,34 @@ def test_quantiles_of_a_hot_group_sort_a_few_values_only(spark):
         assert value == np.quantile([r.v for r in rows if r.g == g], p)
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_quantiles_of_a_value_that_most_rows_share(spark, monkeypatch, by):
+    """Each pass narrows a bracket, also if its upper end holds nearly all of it or a value between does."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    tied = np.where(np.arange(4000) % 500 == 0, rng.normal(size=4000), 7.0)
+    data = {"high": tied, "low": -tied, "middle": np.where(rng.random(4000) < 0.1, rng.normal(size=4000), 0.25), "few": rng.integers(0, 5, 4000) / 3.0, "all": rng.normal(size=4000)}
+    names = list(data)
+    rows = [("a", *map(float, r)) for r in zip(*data.values())] + [("a", *[None] * 4, float("nan"))]
+    df = spark.createDataFrame(rows, "g string, " + ", ".join(f"{n} double" for n in names))
+    passes, kept = [], quantiles.store
+
+    def counted(table, name):
+        passes.append(name)
+        assert passes.count("ranks") < 12
+        return kept(table, name)
+
+    monkeypatch.setattr(quantiles, "store", counted)
+    probs = [0.0, 0.001, 0.3, 0.5, 0.999, 1.0]
+    for lower, method in ((False, "linear"), (True, "lower")):
+        got = {(r.metric, r.prob): r.value for r in quantiles.exact_quantiles(df, names, probs, by, 100, lower).collect()}
+        assert len(got) == len(names) * len(probs)
+        for (c, p), value in got.items():
+            want = np.sort(data[c])[int(np.floor(p * 3999))] if method == "lower" else np.quantile(data[c], p)
+            assert value == pytest.approx(want, abs=1e-12), (c, p, lower)
+        passes.clear()
+
+
 def test_lower_quantiles_are_values_of_the_column(spark):
     df = spark.createDataFrame([(float(v),) for v in [5, 1, 4, 2, 3, 9]], "v double")
     got = {r.prob: r.value for r in quantiles.exact_quantiles(df, ["v"], [0.0, 0.3, 0.5, 1.0], lower=True).collect()}
