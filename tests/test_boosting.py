@@ -119,3 +119,22 @@ def test_a_feature_that_is_missing_counts_as_zero(spark):
     odd = spark.createDataFrame([(None, float("inf"), 1.0, float("nan"), 0.0), (0.0, 0.0, 1.0, 0.0, 0.0)], rows.schema)
     a, b = [r.prediction for r in model.predict(odd).collect()]
     assert a == b
+
+
+def test_half_a_million_rows_need_few_jobs(spark, monkeypatch):
+    """They grow their trees in one task; dealt out to shares they grow the same."""
+    rows = spark.range(300_000).select(*[(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)) / 7.0).alias(f"f{i}") for i in range(3)])
+    rows = rows.withColumn("y", F.col("f0") * 3 + F.when(F.col("f1") > 70, F.col("f2")).otherwise(0.0))
+    from panelkit.session import store
+    rows, context = store(rows, "rows"), spark.sparkContext
+    context.setJobGroup("grow", "trees in one task")
+    try:
+        alone = boosting.fit(rows, ["f0", "f1", "f2"], "y", trees=15, depth=3)
+        assert len(context.statusTracker().getJobIdsForGroup("grow")) < 40
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    monkeypatch.setattr(boosting, "ROWS_A_TASK", 100_000)
+    shared = boosting.fit(rows, ["f0", "f1", "f2"], "y", trees=2, depth=3)
+    for a, b in zip(alone.trees, shared.trees):
+        assert [n[:4] + n[5:] for n in a] == [n[:4] + n[5:] for n in b]
+        assert np.allclose([n.value for n in a], [n.value for n in b], rtol=1e-9)
