@@ -138,3 +138,20 @@ def test_half_a_million_rows_need_few_jobs(spark, monkeypatch):
     for a, b in zip(alone.trees, shared.trees):
         assert [n[:4] + n[5:] for n in a] == [n[:4] + n[5:] for n in b]
         assert np.allclose([n.value for n in a], [n.value for n in b], rtol=1e-9)
+
+
+def test_a_model_scores_as_the_walk_does_and_compiled(spark):
+    """Cuts themselves, missing and infinite values included; no function of the plan is interpreted step by step."""
+    x, y = rows_of(6, 500)
+    rows, names = stored(spark, x, y)
+    model = boosting.fit(rows, names, "y", trees=12, depth=4)
+    cut = next(n.cut for n in model.trees[0] if n.feature == 0)
+    odd = spark.createDataFrame([(cut, 1.0, 2.0, 0.5, 0.0), (None, float("inf"), float("nan"), -0.0, 0.0)], rows.schema)
+    both = rows.unionByName(odd)
+    told = model.predict(both, "told")
+    assert told.columns == [*names, "y", "told"]
+    clean = [F.when(F.col(n).isNull() | F.isnan(n) | (F.abs(n) == F.lit(float("inf"))), 0.0).otherwise(F.col(n)) for n in names]
+    assert told.select(F.max(F.abs(F.col("told") - model.base - sum_over_trees(model.trees, clean)))).first()[0] < 1e-9
+    assert "lambda" not in told._jdf.queryExecution().analyzed().toString()
+    again = model.predict(told, "told")  # in place of a column
+    assert again.columns == told.columns and again.filter(F.col("told").isNull()).isEmpty()
