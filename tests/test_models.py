@@ -114,6 +114,23 @@ def test_silhouette_equals_brute_force(spark, block):
     assert -1 <= silhouette.squared_silhouette(df, ["f0", "f1", "f2"], "label") <= 1
 
 
+@pytest.mark.parametrize("block, bundle", [(4, 16), (8, 8), (16, 64), (4, 4096)])
+def test_small_blocks_meet_in_bundles(spark, monkeypatch, block, bundle):
+    """The same sums, also if bundles mix parts of large clusters and whole small ones; far fewer rows than points by blocks."""
+    monkeypatch.setattr(silhouette, "BUNDLE", bundle)
+    rng = np.random.default_rng(5)
+    labels = np.array([0] * 70 + [1] * 50 + [2] * 9 + [3] * 5 + [4, 5, 6, 6])
+    x = rng.normal(size=(len(labels), 2)) + labels[:, None] % 4
+    df = spark.createDataFrame([(f"p{i:04d}", *map(float, r), int(l)) for i, (r, l) in enumerate(zip(x, labels))], "iso_code string, f0 double, f1 double, label int")
+    got = {r.iso_code: r.s for r in silhouette.silhouette_values(df, ["f0", "f1"], "label", block=block).collect()}
+    assert np.allclose([got[f"p{i:04d}"] for i in range(len(x))], brute_silhouette(x, labels))
+    if bundle == 4096:
+        made = []
+        monkeypatch.setattr(silhouette, "store", lambda df, name, keep=silhouette.store: made.append((name, keep(df, name))) or made[-1][1])
+        silhouette.silhouette_values(df, ["f0", "f1"], "label", block=block)
+        assert made[-1][1].count() == 1  # one tile; each pair of 36 blocks was one
+
+
 @pytest.fixture(scope="module")
 def fact(spark):
     """60 entities x 30 years with the columns the models use."""
